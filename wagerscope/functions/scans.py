@@ -181,6 +181,19 @@ def streaks(
     )
 
 
+def value_range(value: Column, bits: int = 7) -> Column:
+    """A number that grows with ``value`` and is shared by values within about 1 %.
+
+    Each power of two above ``|value| + 1`` is cut into ``2 ** bits`` equal
+    parts, so even values of all sizes make only some thousand ranges.  It
+    needs no look at the data, so it is the same wherever it is computed.
+    """
+    size = F.abs(value.cast("double")) + 1.0
+    power = F.floor(F.log2(size))
+    position = power + size / F.pow(F.lit(2.0), power) - 1.0
+    return (F.signum(value.cast("double")) * F.floor(position * 2**bits)).cast("int")
+
+
 def totals_before(
     cells: DataFrame,
     value: str,
@@ -188,22 +201,15 @@ def totals_before(
     by: Sequence[str] = (),
     tie: Sequence[str] = (),
     descending: bool = False,
-    parts: int = 256,
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over the cells ordered earlier) and ``<m>_all`` for each measure.
 
-    The global order is cut at approximate quantiles of ``value`` into ``parts``
-    ranges.  Each range is summed on its own and shifted by the totals of the
-    ranges before it, which are at most ``parts + 1`` rows per ``by`` group.
+    The global order is cut into value ranges.  Each range is summed on its own
+    and shifted by the totals of the ranges before it, which are one row per
+    range and ``by`` group.
     """
     by = list(by)
-    probabilities = [i / parts for i in range(1, parts)]
-    cuts = cells.agg(F.percentile_approx(value, probabilities, 10_000).alias("cuts")).scalar()
-    ranged = (
-        cells.withColumn("_cuts", cuts)
-        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < F.col(value))))
-        .drop("_cuts")
-    )
+    ranged = cells.withColumn("_range", value_range(F.col(value)))
     groups = by or ["_one"]
     if not by:
         ranged = ranged.withColumn("_one", F.lit(1))
@@ -243,7 +249,6 @@ def exact_quantiles(
     probs: Mapping[str, float],
     by: Sequence[str] = (),
     weight: str | None = None,
-    parts: int = 256,
 ) -> DataFrame:
     """Interpolated quantiles of ``value``: one row, or one per ``by`` group.
 
@@ -254,7 +259,7 @@ def exact_quantiles(
     by = list(by)
     n = F.count("*") if weight is None else F.sum(weight)
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(n.alias("n"))
-    ranked = totals_before(counts, value, ["n"], by=by, parts=parts)
+    ranked = totals_before(counts, value, ["n"], by=by)
     aggs = []
     for name, p in probs.items():
         at = F.lit(float(p)) * (F.col("n_all") - 1)

@@ -52,7 +52,7 @@ def first_activity(tx: DataFrame) -> DataFrame:
             "acquisition_date",
             "first_bet_timestamp",
             F.col("first.game_id").alias("first_game_played"),
-            F.col("first.bet_amount").cast("double").alias("first_bet_amount"),
+            F.col("first.bet_amount").alias("first_bet_amount"),
         )
     )
 
@@ -67,8 +67,10 @@ def monthly_acquisition(
         .groupBy(calendar.month_of("acquisition_date").alias("month"))
         .agg(
             F.count("player_id").alias("new_players"),
-            F.avg("first_bet_amount").alias("avg_first_bet"),
-            F.percentile_approx("first_bet_amount", 0.5, accuracy).alias("median_first_bet"),
+            mean("first_bet_amount").alias("avg_first_bet"),
+            F.percentile_approx("first_bet_amount", 0.5, accuracy)
+            .cast("double")
+            .alias("median_first_bet"),
             F.count_if(started.startswith(slot_prefix)).alias("slots"),
             F.count_if(started.startswith(table_prefix)).alias("tables"),
         )

@@ -109,9 +109,13 @@ def _usable() -> Column:
     return ok
 
 
+# Bet times keep their microseconds; ties between bets would change streaks.
+_CSV = {"header": True, "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """A result as csv part files with a header."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**_CSV).csv(path)
 
 
 def write_months(tx: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -127,7 +131,7 @@ def write_months(tx: DataFrame, path: str, mode: str = "overwrite") -> None:
         keyed.repartition("transactions_month", spread)
         .write.mode(mode)
         .partitionBy("transactions_month")
-        .option("header", True)
+        .options(**_CSV)
         .csv(path)
     )
 
