@@ -130,14 +130,19 @@ def streak_lengths(spark, d):
 @query
 def player_streak_lengths(spark, d):
     """Streaks across a player's sessions: long runs that span many slices."""
-    tx = scans.streaks(adapters.bets(spark, d), F.col("win_amount") > 0, keys=["player_id"])
+    hit = F.col("win_amount") > 0
+    tx = scans.ordered_state(
+        adapters.bets(spark, d),
+        runs=(hit, "consecutive_losses", "consecutive_wins"),
+        keys=["player_id"],
+    )
     return tx.select("transaction_id", "consecutive_losses", "consecutive_wins")
 
 
 @query
 def previous_bets(spark, d):
-    tx = scans.previous_rows(
-        adapters.bets(spark, d), {"bet_amount": "prev_bet", "net_result": "prev_net"}
+    tx = scans.ordered_state(
+        adapters.bets(spark, d), previous={"bet_amount": "prev_bet", "net_result": "prev_net"}
     )
     return tx.select("transaction_id", "prev_bet", "prev_net")
 

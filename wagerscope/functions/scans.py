@@ -46,139 +46,84 @@ def sessionize(
     return slotted.join(starts, [player, "_slot"]).drop("_slot")
 
 
-def _sliced(tx: DataFrame, ts: str, slice_seconds: int) -> DataFrame:
-    return tx.withColumn("_slice", F.floor(F.unix_timestamp(ts) / slice_seconds))
-
-
-def previous_rows(
-    tx: DataFrame,
-    cols: Mapping[str, str],
-    keys: Sequence[str] = ("player_id", "session_id"),
-    order: Sequence[str] = ("timestamp", "transaction_id"),
-    slice_seconds: int = SLICE_SECONDS,
-) -> DataFrame:
-    """Add ``cols[c]`` = value of ``c`` on the previous row of the same key."""
-    keys, slice_keys = list(keys), [*keys, "_slice"]
-    w = Window.partitionBy(*slice_keys).orderBy(*order)
-    here = _sliced(tx, order[0], slice_seconds)
-    rows = here.select(
-        "*",
-        F.row_number().over(w).alias("_rn"),
-        *[F.lag(c).over(w).alias(f"_{new}") for c, new in cols.items()],
-    )
-    last = here.groupBy(*slice_keys).agg(
-        F.max_by(F.struct(*cols), F.struct(*order)).alias("_last")
-    )
-    carried = last.select(
-        *slice_keys,
-        F.lag("_last").over(Window.partitionBy(*keys).orderBy("_slice")).alias("_carry"),
-    )
-    joined = rows.join(carried, slice_keys, "left")
-    return joined.select(
-        *[F.col(c) for c in tx.columns],
-        *[
-            F.when(F.col("_rn") == 1, F.col("_carry")[c]).otherwise(F.col(f"_{new}")).alias(new)
-            for c, new in cols.items()
-        ],
-    )
-
-
-def running_sum(
+def ordered_state(
     tx: DataFrame,
-    measure: str,
-    out: str,
+    sums: Mapping[str, str] | None = None,
+    previous: Mapping[str, str] | None = None,
+    runs: tuple[Column, str, str] | None = None,
     keys: Sequence[str] = ("player_id", "session_id"),
     order: Sequence[str] = ("timestamp", "transaction_id"),
     slice_seconds: int = SLICE_SECONDS,
 ) -> DataFrame:
-    """Add ``out`` = sum of ``measure`` over the key's rows up to and with this one."""
-    keys, slice_keys = list(keys), [*keys, "_slice"]
-    w = (
-        Window.partitionBy(*slice_keys)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    here = _sliced(tx, order[0], slice_seconds)
-    rows = here.select("*", F.sum(measure).over(w).alias("_local"))
-    carried = (
-        here.groupBy(*slice_keys)
-        .agg(F.sum(measure).alias("_total"))
-        .select(
-            *slice_keys,
-            F.sum("_total").over(_before(*keys, order=[F.col("_slice")])).alias("_carry"),
-        )
-    )
-    kind = tx.schema[measure].dataType
-    return rows.join(carried, slice_keys, "left").select(
-        *[F.col(c) for c in tx.columns],
-        (F.col("_local") + F.coalesce("_carry", F.lit(0))).cast(kind).alias(out),
-    )
+    """Add what a row knows of its key's rows so far, in one pass over the rows.
 
+    * ``sums[c]``: running sum of ``c``, this row included
+    * ``previous[c]``: value of ``c`` on the row before
+    * ``runs = (hit, misses, hits)``: lengths of the current run of misses and
+      of hits, this row included
 
-def streaks(
-    tx: DataFrame,
-    hit: Column,
-    miss_out: str = "consecutive_losses",
-    hit_out: str = "consecutive_wins",
-    keys: Sequence[str] = ("player_id", "session_id"),
-    order: Sequence[str] = ("timestamp", "transaction_id"),
-    slice_seconds: int = SLICE_SECONDS,
-) -> DataFrame:
-    """Add the lengths of the current run of misses and of hits, this row included.
-
+    Rows are sorted inside (key, slice of time) only.  One summary row per
+    slice carries sums, last values and open runs into the slices after it.
     A run's length is the row's position minus that of the last opposite
-    outcome.  Positions are counted inside slices; slices without an opposite
-    outcome so far take the run left open by the slices before.
+    outcome, so only positions have to be carried.
     """
+    sums, previous = dict(sums or {}), dict(previous or {})
     keys, slice_keys = list(keys), [*keys, "_slice"]
     w = Window.partitionBy(*slice_keys).orderBy(*order)
     to_here = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    here = _sliced(tx, order[0], slice_seconds).withColumn("_hit", hit)
-
-    def placed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_rn", F.row_number().over(w)).withColumns(
-            {
-                "_hit_at": F.max(F.when(F.col("_hit"), F.col("_rn"))).over(to_here),
-                "_miss_at": F.max(F.when(~F.col("_hit"), F.col("_rn"))).over(to_here),
-            }
-        )
-
-    narrow = here.select(*slice_keys, *order, "_hit").withColumn("_rn", F.row_number().over(w))
-    ends = narrow.groupBy(*slice_keys).agg(
-        F.max("_rn").alias("_n"),
-        F.max(F.when(F.col("_hit"), F.col("_rn"))).alias("_hit_at"),
-        F.max(F.when(~F.col("_hit"), F.col("_rn"))).alias("_miss_at"),
-    )
+    here = tx.withColumn("_slice", F.floor(F.unix_timestamp(order[0]) / slice_seconds))
+    here = here.withColumn("_hit", runs[0] if runs else F.lit(None).cast("boolean"))
+    position = F.row_number().over(w)
+    hit_at = F.when(F.col("_hit"), F.col("_rn"))
+    miss_at = F.when(~F.col("_hit"), F.col("_rn"))
+
+    local = {f"_sum_{c}": F.sum(c).over(to_here) for c in sums}
+    local |= {f"_prev_{c}": F.lag(c).over(w) for c in previous}
+    if runs:
+        local |= {"_hit_at": F.max(hit_at).over(to_here), "_miss_at": F.max(miss_at).over(to_here)}
+    rows = here.withColumn("_rn", position).withColumns(local)
+
+    # The summary reads only the columns it needs, and ranks rows only for runs.
+    used = dict.fromkeys([*slice_keys, *order, "_hit", *sums, *previous])
+    narrow = here.select(*used)
+    ends = [F.sum(c).alias(f"_total_{c}") for c in sums]
+    if previous:
+        ends.append(F.max_by(F.struct(*previous), F.struct(*order)).alias("_last"))
+    if runs:
+        narrow = narrow.withColumn("_rn", position)
+        ends += [
+            F.max("_rn").alias("_n"),
+            F.max(hit_at).alias("_hit_at"),
+            F.max(miss_at).alias("_miss_at"),
+        ]
+    slices = narrow.groupBy(*slice_keys).agg(*ends)
     past = _before(*keys, order=[F.col("_slice")])
-    carried = (
-        ends.withColumn("_base", F.coalesce(F.sum("_n").over(past), F.lit(0)))
-        .select(
-            *slice_keys,
-            "_base",
-            F.max(F.col("_base") + F.col("_hit_at")).over(past).alias("_past_hit"),
-            F.max(F.col("_base") + F.col("_miss_at")).over(past).alias("_past_miss"),
-        )
-        .select(
-            *slice_keys,
-            (F.col("_base") - F.coalesce("_past_hit", F.lit(0))).alias("_open_misses"),
-            (F.col("_base") - F.coalesce("_past_miss", F.lit(0))).alias("_open_hits"),
+    carried = [F.sum(f"_total_{c}").over(past).alias(f"_carry_{c}") for c in sums]
+    if previous:
+        in_order = Window.partitionBy(*keys).orderBy("_slice")
+        carried.append(F.lag("_last").over(in_order).alias("_carry_last"))
+    if runs:
+        slices = slices.withColumn("_base", F.coalesce(F.sum("_n").over(past), F.lit(0)))
+        for side in ("hit", "miss"):
+            last = F.max(F.col("_base") + F.col(f"_{side}_at")).over(past)
+            open_run = F.col("_base") - F.coalesce(last, F.lit(0))
+            carried.append(open_run.alias(f"_since_{side}"))
+    joined = rows.join(slices.select(*slice_keys, *carried), slice_keys, "left")
+
+    out = {}
+    for c, name in sums.items():
+        total = F.col(f"_sum_{c}") + F.coalesce(f"_carry_{c}", F.lit(0))
+        out[name] = total.cast(tx.schema[c].dataType)
+    for c, name in previous.items():
+        out[name] = F.when(F.col("_rn") == 1, F.col("_carry_last")[c]).otherwise(
+            F.col(f"_prev_{c}")
         )
-    )
-
-    def length(opposite_at: str, still_open: str) -> Column:
-        open_run = F.coalesce(F.col(still_open), F.lit(0))
-        return (F.col("_rn") - F.coalesce(F.col(opposite_at), -open_run)).cast("int")
-
-    kept = [c for c in tx.columns if c not in (miss_out, hit_out)]
-    return (
-        placed(here)
-        .join(carried, slice_keys, "left")
-        .select(
-            *[F.col(c) for c in kept],
-            length("_hit_at", "_open_misses").alias(miss_out),
-            length("_miss_at", "_open_hits").alias(hit_out),
-        )
-    )
+    if runs:
+        for side, name in (("hit", runs[1]), ("miss", runs[2])):
+            since = 0 - F.coalesce(f"_since_{side}", F.lit(0))
+            out[name] = (F.col("_rn") - F.coalesce(f"_{side}_at", since)).cast("int")
+    kept = [F.col(c) for c in tx.columns if c not in out]
+    return joined.select(*kept, *[c.alias(name) for name, c in out.items()])
 
 
 def value_range(value: Column, bits: int = 7) -> Column:

@@ -165,8 +165,8 @@ def bet_escalation(
         F.col("bet_amount").cast("double").alias("bet"),
         F.col("net_result").cast("double").alias("net"),
     )
-    seq = scans.previous_rows(
-        moves, {"bet": "prev_bet", "net": "prev_net"}, slice_seconds=slice_seconds
+    seq = scans.ordered_state(
+        moves, previous={"bet": "prev_bet", "net": "prev_net"}, slice_seconds=slice_seconds
     )
     bet, prev, after_loss = F.col("bet"), F.col("prev_bet"), F.col("prev_net") < 0
     grown = ratio(bet - prev, prev)

@@ -13,6 +13,13 @@ from wagerscope.functions.metrics import ratio
 from wagerscope.schema import MONEY
 
 
+_BALANCE = {"net_result": "session_balance"}
+
+
+def _outcome_runs() -> tuple[Column, str, str]:
+    return F.col("win_amount") > 0, "consecutive_losses", "consecutive_wins"
+
+
 def calendar_columns(
     tx: DataFrame,
     peak_hours: tuple[int, int] = calendar.PEAK_HOURS,
@@ -62,17 +69,19 @@ def net_result(tx: DataFrame) -> DataFrame:
 
 def running_balance(tx: DataFrame, slice_seconds: int = scans.SLICE_SECONDS) -> DataFrame:
     """P5: the session's net result up to and with each bet."""
-    return scans.running_sum(tx, "net_result", "session_balance", slice_seconds=slice_seconds)
+    return scans.ordered_state(tx, sums=_BALANCE, slice_seconds=slice_seconds)
 
 
 def streak_lengths(tx: DataFrame, slice_seconds: int = scans.SLICE_SECONDS) -> DataFrame:
     """Losses and wins in a row after each bet; any payout ends a losing run."""
-    return scans.streaks(tx, F.col("win_amount") > 0, slice_seconds=slice_seconds)
+    return scans.ordered_state(tx, runs=_outcome_runs(), slice_seconds=slice_seconds)
 
 
 def session_sequence(tx: DataFrame, slice_seconds: int = scans.SLICE_SECONDS) -> DataFrame:
-    """P5 and P6 together."""
-    return streak_lengths(running_balance(tx, slice_seconds), slice_seconds)
+    """P5 and P6 together, in one pass."""
+    return scans.ordered_state(
+        tx, sums=_BALANCE, runs=_outcome_runs(), slice_seconds=slice_seconds
+    )
 
 
 def win_multipliers(tx: DataFrame) -> DataFrame:
