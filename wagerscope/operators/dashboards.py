@@ -382,21 +382,37 @@ def peak_split(tx: DataFrame) -> DataFrame:
     return _bet_profile(tx, "is_peak_hour").drop("num_bets")
 
 
-def histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
-    """Counts in equal-width bins between the smallest and the largest value."""
-    x = as_double(value)
-    present = df.where(F.col(value).isNotNull()).select(x.alias("_x"))
-    ends = present.agg(F.min("_x").alias("low"), F.max("_x").alias("high"))
-    spread = present.withColumn("_ends", ends.select(F.struct("*")).scalar())
-    low, high = F.col("_ends.low"), F.col("_ends.high")
-    place = F.coalesce(F.floor(ratio(F.col("_x") - low, high - low) * bins), F.lit(0))
+def histogram(
+    df: DataFrame,
+    value: str,
+    bins: int = 100,
+    low: float | None = None,
+    high: float | None = None,
+) -> DataFrame:
+    """Counts in equal-width bins between the smallest and the largest value.
+
+    ``low`` and ``high`` clip the values at these quantiles first.  Equal values
+    are counted once; quantiles, ends and bins all start from those counts.
+    """
+    counts = (
+        df.where(F.col(value).isNotNull())
+        .groupBy(as_double(value).alias("x"))
+        .agg(F.count("*").alias("n"))
+    )
+    if low is not None or high is not None:
+        counts = rows.winsorise(counts, "x", low, high, out="x", weight="n")
+    # Naming ``n`` keeps this the same aggregate as above, so its shuffle is reused.
+    ends = counts.where("n > 0").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    spread = counts.withColumn("_ends", ends.select(F.struct("*")).scalar())
+    start, end = F.col("_ends.low"), F.col("_ends.high")
+    place = F.coalesce(F.floor(ratio(F.col("x") - start, end - start) * bins), F.lit(0))
     # The largest value belongs to the last bin.
     bin_no = F.least(place, F.lit(bins - 1)).cast("int")
     width = (F.col("high") - F.col("low")) / bins
     return (
-        spread.select(bin_no.alias("bin"), low.alias("low"), high.alias("high"))
+        spread.select(bin_no.alias("bin"), start.alias("low"), end.alias("high"), "n")
         .groupBy("bin")
-        .agg(F.count("*").alias("count"), F.max("low").alias("low"), F.max("high").alias("high"))
+        .agg(F.sum("n").alias("count"), F.max("low").alias("low"), F.max("high").alias("high"))
         .select(
             "bin",
             (F.col("low") + F.col("bin") * width).alias("bin_start"),
@@ -408,19 +424,19 @@ def histogram(df: DataFrame, value: str, bins: int = 100) -> DataFrame:
 
 def bet_histogram(tx: DataFrame, bins: int = 100, cap: float = 0.99) -> DataFrame:
     """G17 on bets clipped at their ``cap`` quantile."""
-    return histogram(rows.winsorise(tx, "bet_amount", None, cap, "x"), "x", bins)
+    return histogram(tx, "bet_amount", bins, high=cap)
 
 
 def multiplier_histogram(tx: DataFrame, bins: int = 50, cap: float = 0.99) -> DataFrame:
     """G17 on payout over stake of winning bets."""
-    return histogram(
-        rows.winsorise(rows.win_multipliers(tx), "multiplier", None, cap, "x"), "x", bins
-    )
+    return histogram(rows.win_multipliers(tx), "multiplier", bins, high=cap)
 
 
-def net_histogram(tx: DataFrame, bins: int = 100, low: float = 0.01, high: float = 0.99) -> DataFrame:
+def net_histogram(
+    tx: DataFrame, bins: int = 100, low: float = 0.01, high: float = 0.99
+) -> DataFrame:
     """G17 on net results clipped at both ends."""
-    return histogram(rows.winsorise(tx, "net_result", low, high, "x"), "x", bins)
+    return histogram(tx, "net_result", bins, low, high)
 
 
 def _log_moments(tx: DataFrame, cap: float) -> DataFrame:

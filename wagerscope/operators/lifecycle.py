@@ -389,29 +389,23 @@ def monthly_lifecycle(tx: DataFrame) -> DataFrame:
 
     Lost players are the base's decrease, never below 0, and 0 in the first month.
     """
-    new = (
-        player_cohorts(tx)
-        .groupBy(F.col("cohort_month").alias("month"))
-        .agg(F.count("player_id").alias("new_players"))
-    )
     now, before = F.col("active_players"), F.lag("active_players").over(_by_month())
+    gained = F.col("new_players")
     lost = F.greatest(before - now, F.lit(0))
-    gained = F.coalesce("new_players", F.lit(0))
-    return (
-        _monthly_actives(tx)
-        .join(new, "month", "left")
-        .select(
-            "month",
-            gained.alias("new_players"),
-            now.alias("total_active_players"),
-            before.alias("active_previous_month"),
-            lost.alias("churned_players"),
-            (gained - lost).alias("net_growth"),
-            pct(now, before).alias("retention_rate_pct"),
-            pct(now - before, before).alias("mom_growth_pct"),
-        )
-        .orderBy("month")
+    per_month = cohort_activity(tx).groupBy("month").agg(
+        F.count("player_id").alias("active_players"),
+        F.count_if(F.col("month") == F.col("cohort_month")).alias("new_players"),
     )
+    return per_month.select(
+        "month",
+        gained,
+        now.alias("total_active_players"),
+        before.alias("active_previous_month"),
+        lost.alias("churned_players"),
+        (gained - lost).alias("net_growth"),
+        pct(now, before).alias("retention_rate_pct"),
+        pct(now - before, before).alias("mom_growth_pct"),
+    ).orderBy("month")
 
 
 def cohort_ltv(
@@ -455,9 +449,10 @@ def acquisition_by_persona(tx: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _first_day_games(tx: DataFrame, labels: DataFrame) -> DataFrame:
     """Bets of each player's first day, one row per player and game."""
-    cells = player_days(tx, "game_id").select("player_id", "date", "game_id", "bets")
-    first = player_bounds(tx).select("player_id", F.col("first_date").alias("date"))
-    return cells.join(first, ["player_id", "date"]).join(_label_of(labels), "player_id")
+    # A player has at most one row per day and game here.
+    first = F.min("date").over(Window.partitionBy("player_id"))
+    cells = player_days(tx, "game_id").withColumn("_first", first)
+    return cells.where(F.col("date") == F.col("_first")).join(_label_of(labels), "player_id")
 
 
 def entry_games(
@@ -525,60 +520,80 @@ def active_base(tx: DataFrame, segments: DataFrame) -> DataFrame:
     )
 
 
-def base_churn(tx: DataFrame, segments: DataFrame) -> DataFrame:
-    """Change of each segment's base per month, months without players included."""
-    base = active_base(tx, segments)
-    span = base.agg(F.min("month").alias("low"), F.max("month").alias("high"))
-    ends = span.select(F.struct("*")).scalar()
-    # Fill each segment's calendar; the table has one row per month and segment.
-    grid = (
-        base.select("player_segment")
-        .distinct()
-        .withColumn("_ends", ends)
-        .select(
-            "player_segment",
-            F.explode(
-                F.sequence(F.col("_ends.low"), F.col("_ends.high"), F.expr("interval 1 month"))
-            ).alias("month"),
+def _dense_base(tx: DataFrame, segments: DataFrame) -> DataFrame:
+    """Active, new and previous players for every month of every segment.
+
+    A row also stands for the empty months after it, and a segment's first row
+    for those before it, so the calendar is filled without joining a grid.
+    """
+    base = (
+        cohort_activity(tx)
+        .join(_segment_of(segments), "player_id")
+        .groupBy("month", "player_segment")
+        .agg(
+            F.count("player_id").alias("active"),
+            F.count_if(F.col("month") == F.col("cohort_month")).alias("new"),
         )
     )
-    filled = grid.join(base, ["month", "player_segment"], "left").withColumn(
-        "active_players", F.coalesce("active_players", F.lit(0))
+    # One row per month and segment, so these windows are small.
+    ordered = Window.partitionBy("player_segment").orderBy("month")
+    everything = Window.partitionBy()
+    until = F.coalesce(
+        F.add_months(F.lead("month").over(ordered), -1), F.max("month").over(everything)
+    )
+    since = F.when(F.lag("month").over(ordered).isNull(), F.min("month").over(everything))
+    spans = base.select(
+        "player_segment",
+        F.col("month").alias("_own"),
+        "active",
+        "new",
+        F.coalesce(since, F.col("month")).alias("_since"),
+        until.alias("_until"),
+    )
+    months = F.explode(F.sequence("_since", "_until", F.expr("interval 1 month")))
+    own = F.col("month") == F.col("_own")
+    filled = spans.withColumn("month", months).select(
+        "month",
+        "player_segment",
+        *[F.when(own, F.col(c)).otherwise(0).alias(c) for c in ("active", "new")],
     )
-    by_segment = Window.partitionBy("player_segment").orderBy("month")
-    start = F.lag("active_players").over(by_segment)
+    return filled.withColumn("start", F.lag("active").over(ordered))
+
+
+def _churn_rate() -> Column:
+    return ratio(F.col("start") - F.col("active"), "start", 0) * 100
+
+
+def base_churn(tx: DataFrame, segments: DataFrame) -> DataFrame:
+    """Change of each segment's base per month, months without players included."""
     return (
-        filled.withColumn("active_start", start)
-        .where(F.col("active_start").isNotNull())
+        _dense_base(tx, segments)
+        .where(F.col("start").isNotNull())
         .select(
             "month",
             "player_segment",
-            "active_start",
-            F.col("active_players").alias("active_end"),
-            (F.col("active_start") - F.col("active_players")).alias("churned"),
-            (
-                ratio(F.col("active_start") - F.col("active_players"), "active_start", 0) * 100
-            ).alias("churn_rate_pct"),
+            F.col("start").alias("active_start"),
+            F.col("active").alias("active_end"),
+            (F.col("start") - F.col("active")).alias("churned"),
+            _churn_rate().alias("churn_rate_pct"),
         )
     )
 
 
 def _acquired_and_churned(tx: DataFrame, segments: DataFrame) -> DataFrame:
-    acquired = (
-        acquisition_by_segment(tx, segments)
-        .groupBy(F.col("acquisition_month").alias("month"))
-        .agg(F.sum("new_players").alias("acquired"))
-    )
-    churned = base_churn(tx, segments).groupBy("month").agg(F.sum("churned").alias("churned"))
-    return acquired.join(churned, "month", "full").select(
-        "month",
-        F.coalesce("acquired", F.lit(0)).alias("acquired"),
-        F.coalesce("churned", F.lit(0)).alias("churned"),
+    """Per month over all segments; a month with only one of them has 0 for the other."""
+    return (
+        _dense_base(tx, segments)
+        .groupBy("month")
+        .agg(
+            F.sum("new").alias("acquired"),
+            F.coalesce(F.sum(F.col("start") - F.col("active")), F.lit(0)).alias("churned"),
+        )
     )
 
 
 def net_growth(tx: DataFrame, segments: DataFrame) -> DataFrame:
-    """Acquired minus churned per month; a missing side counts 0."""
+    """Acquired minus churned per month."""
     return _acquired_and_churned(tx, segments).withColumn(
         "net_growth", F.col("acquired") - F.col("churned")
     )
@@ -636,18 +651,16 @@ def retention_weighted_ltv(
 
 def lifecycle_headline(tx: DataFrame, segments: DataFrame) -> DataFrame:
     """Acquired, churned, net growth, final base and mean churn rate in one row."""
-    acquired = acquisition_by_segment(tx, segments).agg(F.sum("new_players")).scalar()
-    last = active_base(tx, segments).groupBy("month").agg(F.sum("active_players").alias("n"))
-    final = last.agg(F.max_by("n", "month")).scalar()
-    churn = base_churn(tx, segments).agg(
-        F.sum("churned").alias("total_churned"), F.avg("churn_rate_pct").alias("avg_churn_rate_pct")
-    )
-    return churn.select(
+    last = F.max("month").over(Window.partitionBy())
+    dense = _dense_base(tx, segments).withColumn("_last", last)
+    acquired, churned = F.sum("new"), F.sum(F.col("start") - F.col("active"))
+    at_end = F.when(F.col("month") == F.col("_last"), F.col("active"))
+    return dense.agg(
         acquired.alias("total_acquired"),
-        "total_churned",
-        (acquired - F.col("total_churned")).alias("net_growth"),
-        final.alias("final_active"),
-        "avg_churn_rate_pct",
+        churned.alias("total_churned"),
+        (acquired - churned).alias("net_growth"),
+        F.sum(at_end).alias("final_active"),
+        F.avg(F.when(F.col("start").isNotNull(), _churn_rate())).alias("avg_churn_rate_pct"),
     )
 
 

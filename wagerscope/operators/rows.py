@@ -92,15 +92,23 @@ def win_multipliers(tx: DataFrame) -> DataFrame:
 
 
 def winsorise(
-    df: DataFrame, value: str, low: float | None, high: float | None, out: str | None = None
+    df: DataFrame,
+    value: str,
+    low: float | None,
+    high: float | None,
+    out: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Clip ``value`` at its interpolated quantiles ``low`` and ``high``."""
+    """Clip ``value`` at its interpolated quantiles ``low`` and ``high``.
+
+    ``weight`` says how often each row counts.
+    """
     probs = {}
     if low is not None:
         probs["low"] = low
     if high is not None:
         probs["high"] = high
-    bounds = scans.exact_quantiles(df, value, probs).select(F.struct(*probs)).scalar()
+    bounds = scans.exact_quantiles(df, value, probs, weight=weight).select(F.struct(*probs)).scalar()
     clipped = F.col(value).cast("double")
     if high is not None:
         clipped = F.least(clipped, bounds["high"])
