@@ -19,33 +19,23 @@ from wagerscope.session import build_session
 HEADLINE = [
     "daily_game_aggregate",
     "daily_features",
-    "platform_summary",
     "streak_lengths",
-    "bet_escalation",
     "training_features",
     "summary_features",
     "player_segments",
-    "player_segments_exact",
-    "revenue_concentration",
     "kmeans_segments",
-    "daily_by_segment",
     "weekly_by_segment",
-    "segment_snapshot",
     "risk_indicators",
-    "game_preference",
     "bet_spread_by_persona",
     "pareto_curve",
     "net_histogram",
-    "distribution_summary",
     "monthly_acquisition",
     "cohort_matrix",
     "retention_by_segment",
     "churn_status",
     "pre_churn_behaviour",
-    "monthly_lifecycle",
     "cohort_ltv",
     "net_growth",
-    "weekly_churn",
     "month_export_reload",
 ]
 

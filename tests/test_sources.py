@@ -41,6 +41,14 @@ def test_bronze_reads_only_matching_files(spark, folder):
     assert files.discover(spark, str(folder)).count() == 2
 
 
+def test_files_with_other_columns_are_skipped_or_fail(spark, folder):
+    (folder / "transactions_0.csv").write_text("player_id,transaction_id\nP1,T9\n")
+    assert files.read_bronze(spark, str(folder)).count() == 3
+    strict = files.read_bronze(spark, str(folder), skip_bad_files=False)
+    with pytest.raises(Exception, match="header"):
+        strict.collect()
+
+
 def test_silver_and_rejects_split_the_rows(spark, folder):
     bronze = files.read_bronze(spark, str(folder))
     good, bad = files.silver(bronze), files.rejects(bronze)

@@ -25,21 +25,27 @@ def cast_times(df: DataFrame, cols: Sequence[str] = ("date", "timestamp")) -> Da
 
 
 def read_bronze(
-    spark: SparkSession, path: str | Sequence[str], prefix: str = "transactions"
+    spark: SparkSession,
+    path: str | Sequence[str],
+    prefix: str = "transactions",
+    skip_bad_files: bool = True,
 ) -> DataFrame:
     """Every file below ``path`` whose name starts with ``prefix``, as text.
 
-    One scan over all files, with the file each row came from; missing or
-    broken files are skipped as a whole instead of failing the load.  Column
-    names come from the header, and a file with other columns is an error.
+    One scan over all files, with the file each row came from.  A file that
+    cannot be read or has other columns is logged and skipped as a whole; with
+    ``skip_bad_files=False`` it fails the load.
     """
     reader = (
-        spark.read.option("header", True)
+        spark.read.schema(schema.BRONZE)
+        .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
+        # Without it a plain count would not look at headers and count bad files.
+        .option("columnPruning", False)
         .option("pathGlobFilter", f"{prefix}*")
-        .option("ignoreCorruptFiles", True)
-        .option("ignoreMissingFiles", True)
+        .option("ignoreCorruptFiles", skip_bad_files)
+        .option("ignoreMissingFiles", skip_bad_files)
     )
     paths = [path] if isinstance(path, str) else list(path)
     return reader.csv(paths).withColumn("source_file", F.col("_metadata.file_path"))
@@ -121,11 +127,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_months(tx: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder ``transactions_month=yyyy-MM`` per month of play.
 
-    Columns are written in the order of the bet log's contract.  Rows are grouped by month and a stable spread over 16 files first, so a
+    All columns of the bet log's contract are written, in its order; those the
+    table lacks stay empty.  Rows are grouped by month and a stable spread over 16 files first, so a
     month is neither one huge file nor thousands of tiny ones.
     """
-    ordered = [c for c in schema.BRONZE_COLUMNS if c in tx.columns]
-    keyed = tx.select(ordered).withColumn("transactions_month", F.date_format("timestamp", "yyyy-MM"))
+    ordered = [
+        F.col(c) if c in tx.columns else F.lit(None).cast("string").alias(c)
+        for c in schema.BRONZE_COLUMNS
+    ]
+    keyed = tx.select(*ordered).withColumn("transactions_month", F.date_format("timestamp", "yyyy-MM"))
     spread = F.pmod(F.xxhash64("transaction_id"), F.lit(16))
     (
         keyed.repartition("transactions_month", spread)
