@@ -32,7 +32,7 @@ from wagerscope.session import work_folder
 # Fixed values of the seekable Zstandard format: the skippable frame's magic
 # number, the seek table's own, and the layout of its entries and footer.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
-ENTRY, FOOTER = struct.Struct("<II"), struct.Struct("<IBI")
+ENTRY, FOOTER = "<II", "<IBI"
 
 INDEX = "record_id string, bundle string, frame int, frame_offset long, frame_size long, offset long, length long"
 RECORDS = (
@@ -173,7 +173,7 @@ def write_bundles(
         if waiting:
             yield close_frame()
         if out is not None:
-            entries = b"".join(ENTRY.pack(*x) for x in sizes) + FOOTER.pack(len(sizes), 0, SEEKABLE)
+            entries = b"".join(struct.pack(ENTRY, *x) for x in sizes) + struct.pack(FOOTER, len(sizes), 0, SEEKABLE)
             out.write(struct.pack("<II", SKIPPABLE, len(entries)) + entries)
             out.close()
 
@@ -191,12 +191,13 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 def seek_table(source) -> list[tuple[int, int, int]]:
     """``offset, packed size, raw size`` of each frame, from the end of an open bundle."""
     end = source.size()
-    count, flags, magic = FOOTER.unpack(source.read_at(FOOTER.size, end - FOOTER.size))
+    entry, footer = struct.calcsize(ENTRY), struct.calcsize(FOOTER)
+    count, flags, magic = struct.unpack(FOOTER, source.read_at(footer, end - footer))
     if magic != SEEKABLE or flags:
         raise ValueError("no seek table, or one of another kind")
-    entries = source.read_at(count * ENTRY.size, end - FOOTER.size - count * ENTRY.size)
+    entries = source.read_at(count * entry, end - footer - count * entry)
     table_, at = [], 0
-    for packed, raw in ENTRY.iter_unpack(entries):
+    for packed, raw in struct.iter_unpack(ENTRY, entries):
         table_.append((at, packed, raw))
         at += packed
     return table_
