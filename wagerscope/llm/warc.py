@@ -163,7 +163,7 @@ def write_bundles(
                 page_id, url, body, sha, again, first = row
                 if out is None:
                     fs.create_dir(root, recursive=True)
-                    out = fs.open_output_stream(f"{root}/{name}")
+                    out = fs.open_output_stream(f"{root}/{name}", compression=None)
                 digest = base64.b32encode(bytes.fromhex(sha)).decode()
                 data = record(page_id, url, body, digest, _record_id(first) if again else None, date)
                 waiting.append((_record_id(page_id), data))
