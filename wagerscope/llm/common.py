@@ -36,6 +36,11 @@ def row_keys(columns: Sequence[str]) -> tuple[Column, Column]:
     return F.xxhash64(*cols, *flags), F.xxhash64(F.lit("second"), *flags, *cols)
 
 
+def whole(columns: Sequence[str]) -> Column:
+    """The row as one struct ``_row``, so that no name of the table meets an operator's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row")
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, also inside other lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from wagerscope.llm.common import WORD, prefix_sums, row_keys, stored, table
+from wagerscope.llm.common import WORD, prefix_sums, row_keys, stored, table, whole
 
 
 def words(text: Column) -> Column:
@@ -114,17 +114,17 @@ def emitted(
     copies are made, so a row repeated without end is not gathered in one task.
     """
     k1, k2 = row_keys(docs.columns)
-    keyed = docs.withColumns({"_k1": k1, "_k2": k2})
+    keys = [k1.alias("_k1"), k2.alias("_k2")]
     sized = stored(
-        keyed.select("_k1", "_k2", "source", "doc_id", words(F.col("text")).alias("size"))
+        docs.select(*keys, "source", "doc_id", words(F.col("text")).alias("size"))
         .groupBy("source", "size", "doc_id", "_k1", "_k2")
         .agg(F.count("*").alias("n"))
     )
     placed = copies(sized, weights, max_repeat, seed)
     times = placed.select("_k1", "_k2", _crossed(F.col("first"), F.col("n"), seed).alias("_times")).filter("_times > 0")
-    once = keyed.dropDuplicates(["_k1", "_k2"])
+    once = docs.select(whole(docs.columns), *keys).dropDuplicates(["_k1", "_k2"])
     repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))).alias("_copy")
-    return once.join(times, ["_k1", "_k2"]).select(*docs.columns, repeated).drop("_copy")
+    return once.join(times, ["_k1", "_k2"]).select("_row", repeated).select("_row.*")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagerscope.llm.common import SPACE, let, stored, table
+from wagerscope.llm.common import SPACE, let, stored, table, whole
 
 STATS = (
     "n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_upper n_digits n_ends n_bars"
@@ -211,10 +211,9 @@ def good_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged."""
     scored = statistics(docs.select("text"))
     model = label_model(scored)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    packed = docs.select(F.struct(*columns).alias("row"), F.col("text").alias("text"))
+    packed = docs.select(whole(docs.columns), "text")
     kept = verdict(F.col("stats"), model, threshold)[1]
-    return statistics(packed).filter(kept).select("row.*")
+    return statistics(packed).filter(kept).select("_row.*")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

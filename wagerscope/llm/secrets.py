@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wagerscope.llm.common import let, row_keys, stored, table
+from wagerscope.llm.common import let, row_keys, stored, table, whole
 
 # The strong kinds of the contract, in its order.
 ASSIGN = (
@@ -195,7 +195,7 @@ def redacted(docs: DataFrame, scope: int = 200, mark: str = "<SECRET>") -> DataF
     """
     found = _joined(docs, scope).filter(F.size("spans") > 0).select("k1", "k2", "spans").dropDuplicates(["k1", "k2"])
     k1, k2 = row_keys(["doc_id", "text"])
-    text = F.col("text")
+    text, n_chars = F.col("_row")["text"], "n_chars"
 
     def rebuilt(s: Column) -> Column:
         def pieces(upto: Column) -> Column:
@@ -211,14 +211,16 @@ def redacted(docs: DataFrame, scope: int = 200, mark: str = "<SECRET>") -> DataF
 
         return let(prefix(F.transform(s, lambda x: x["end"]), lambda a, x: F.greatest(a, x)), pieces)
 
-    keyed = docs.withColumns({"_k1": k1, "_k2": k2})
+    keyed = docs.select(whole(docs.columns), k1.alias("_k1"), k2.alias("_k2"))
     marked = found.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), _sorted(F.col("spans")).alias("_spans"))
     joined = keyed.join(marked, ["_k1", "_k2"], "left")
     new = F.when(F.col("_spans").isNull(), text).otherwise(let(F.col("_spans"), rebuilt))
-    out = joined.withColumn("text", new)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")))
-    return out.select(*docs.columns)
+    out = joined.select("_row", "_spans", new.alias("_text"))
+    columns = {c: F.col("_row")[c] for c in docs.columns} | {"text": F.col("_text")}
+    if n_chars in columns:
+        kind = docs.schema[n_chars].dataType
+        columns[n_chars] = F.when(F.col("_spans").isNull(), columns[n_chars]).otherwise(F.length("_text").cast(kind))
+    return out.select(*[c.alias(name) for name, c in columns.items()])
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from wagerscope.llm.common import row_keys, stored, table
+from wagerscope.llm.common import row_keys, stored, table, whole
 from wagerscope.llm.graph import components
 from wagerscope.session import work_folder
 
@@ -178,8 +178,8 @@ def one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 2, seed: in
         .agg(F.min(F.struct("_k1", "_k2")).alias("k"))
         .select("k._k1", "k._k2")
     )
-    keyed = docs.withColumns({"_k1": k1, "_k2": k2})
-    return keyed.join(first, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select(*docs.columns)
+    keyed = docs.select(whole(docs.columns), k1.alias("_k1"), k2.alias("_k2"))
+    return keyed.join(first, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("_row.*")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
