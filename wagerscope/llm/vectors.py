@@ -163,15 +163,16 @@ def scan(
         inner = (rest.astype(np.float32) @ signs.T) * scale
         square = length[part] ** 2 + (reach * reach)[:, None] - 2 * inner
         least = square - 2 * (length[part] * slack[part]) * reach[:, None]
+        seen = np.zeros(square.shape, bool)
         if i == 0:
             n = min(k, square.shape[1])
             top = np.argpartition(square, n - 1, axis=1)[:, :n]
             which = np.repeat(np.arange(len(queries)), n)
             best.offer(which, top.ravel(), candidates[part], ids[part])
-            least[which, top.ravel()] = np.inf
+            seen[which, top.ravel()] = True
         # a little room for rounding in the single-precision estimate
         room = 1e-4 * (length[part].max(initial=0.0) + reach) ** 2
-        which, rows = np.nonzero(least <= (best.distance[:, -1] ** 2 + room)[:, None])
+        which, rows = np.nonzero(~seen & ~(least > (best.distance[:, -1] ** 2 + room)[:, None]))
         best.offer(which, rows, candidates[part], ids[part])
     return best
 
