@@ -209,11 +209,9 @@ def rated(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def good_documents(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that are kept, unchanged."""
-    scored = statistics(docs.select("text"))
-    model = label_model(scored)
-    packed = docs.select(whole(docs.columns), "text")
-    kept = verdict(F.col("stats"), model, threshold)[1]
-    return statistics(packed).filter(kept).select("_row.*")
+    scored = stored(statistics(docs.select(whole(docs.columns), "text")).select("_row", "stats"))
+    kept = verdict(F.col("stats"), label_model(scored), threshold)[1]
+    return scored.filter(kept).select("_row.*")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
