@@ -75,6 +75,12 @@ gone_by AS (
         ORDER BY "timestamp", transaction_id LIMIT 5""",
         "bet_amount",
     ),
+    "bronze_load_report": twin(
+        BETS,
+        """SELECT 'bronze' AS "table", count(*) AS rows FROM bets UNION ALL
+        SELECT 'silver', count(*) FROM bets UNION ALL
+        SELECT 'rejects', 0 UNION ALL SELECT 'skipped_files', 1""",
+    ),
     "rejected_rows": twin(
         BETS,
         """SELECT 'bronze' AS "table", count(*) AS rows FROM bets UNION ALL

@@ -49,6 +49,48 @@ def test_files_with_other_columns_are_skipped_or_fail(spark, folder):
         strict.collect()
 
 
+def test_bad_file_in_many_splits_loads_none_of_its_rows(spark, folder):
+    swapped = ["player_id", "transaction_id", *HEADER.split(",")[2:]]
+    lines = [_line(f"X{i}") for i in range(200)]
+    (folder / "transactions_bad.csv").write_text("\n".join([",".join(swapped), *lines]) + "\n")
+    (folder / "transactions_good.csv").write_text("\n".join(["", HEADER, *lines]) + "\n")
+    (folder / "transactions_empty.csv").write_text("")
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    for key in sizes:
+        spark.conf.set(key, "1000")
+    try:
+        bronze = files.read_bronze(spark, str(folder))
+        assert bronze.rdd.getNumPartitions() > 10
+        got = bronze.groupBy("source_file").count().collect()
+    finally:
+        for key in sizes:
+            spark.conf.unset(key)
+    assert {r.source_file.rsplit("/", 1)[1]: r["count"] for r in got} == {
+        "transactions_2024-01.csv": 2, "transactions_2024-02.csv": 1, "transactions_good.csv": 200
+    }
+    bad = files.skipped_files(spark, str(folder)).first()
+    assert bad.path.endswith("/transactions_bad.csv") and bad.reason.startswith("header: player_id,")
+
+
+def test_games_are_read_by_name(spark, tmp_path):
+    (tmp_path / "g.csv").write_text(
+        "rtp,,game_id,type,volatility,min_bet,max_bet,hit_frequency,max_multiplier,bonus_frequency,visual_engagement\n"
+        "0.96,SLOT_FORTUNE,G001,slot,high,0.2,500,0.25,5000.0,0.008,0.85\n"
+    )
+    row = files.read_games(spark, str(tmp_path / "g.csv")).first()
+    assert (row.game_name, row.game_id, row.rtp, row.max_bet) == ("SLOT_FORTUNE", "G001", 0.96, 500)
+    (tmp_path / "h.csv").write_text("game_id,type\nG001,slot\n")
+    with pytest.raises(ValueError, match="lacks"):
+        files.read_games(spark, str(tmp_path / "h.csv"))
+
+
+def test_load_job_keeps_rejects_and_skipped_files(spark, folder):
+    (folder / "transactions_0.csv").write_text("player_id,transaction_id\nP1,T9\n")
+    refresh.load_bronze(spark, str(folder), "ws_load")
+    counts = [spark.table(f"ws_load.transactions_{t}").count() for t in ("bronze", "rejects", "skipped_files")]
+    assert counts == [3, 1, 1]
+
+
 def test_silver_and_rejects_split_the_rows(spark, folder):
     bronze = files.read_bronze(spark, str(folder))
     good, bad = files.silver(bronze), files.rejects(bronze)
@@ -79,9 +121,11 @@ def test_incremental_ingest_reads_each_file_once(spark, folder, tmp_path):
     out, offsets = str(tmp_path / "out"), str(tmp_path / "offsets")
     ingest.append_new_files(spark, str(folder), out, offsets)
     (folder / "transactions_2024-03.csv").write_text("\n".join([HEADER, _line("T4")]) + "\n")
+    (folder / "transactions_0.csv").write_text("player_id,transaction_id\nP1,T9\n")
     ingest.append_new_files(spark, str(folder), out, offsets)
     got = [r[0] for r in spark.read.parquet(out).select("transaction_id").collect()]
     assert sorted(got) == ["T1", "T2", "T3", "T4"]
+    assert spark.read.parquet(f"{out}_skipped").count() == 1
 
 
 def test_month_export_round_trip(spark, tmp_path):

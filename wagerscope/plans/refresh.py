@@ -11,6 +11,7 @@ from wagerscope.sources import files, tables
 def load_bronze(spark: SparkSession, folder: str, schema_name: str) -> None:
     """Full reload of games and bets from files into ``schema_name``.
 
+    Files left out and rows that the typed load refuses get tables of their own.
     Writing in overwrite mode replaces a truncate and keeps a rerun harmless.
     """
     tables.create_namespace(spark, schema_name)
@@ -18,6 +19,10 @@ def load_bronze(spark: SparkSession, folder: str, schema_name: str) -> None:
     tables.replace_table(games, f"{schema_name}.games_bronze")
     bronze = files.read_bronze(spark, folder)
     tables.replace_table(bronze, f"{schema_name}.transactions_bronze")
+    loaded = tables.read_table(spark, f"{schema_name}.transactions_bronze")
+    tables.replace_table(files.rejects(loaded), f"{schema_name}.transactions_rejects")
+    skipped = files.skipped_files(spark, folder)
+    tables.replace_table(skipped, f"{schema_name}.transactions_skipped_files")
 
 
 def daily_feature_table(spark: SparkSession, schema_name: str) -> None:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +14,66 @@ from wagerscope import schema
 from wagerscope.functions.metrics import ratio
 
 
+def headers(spark: SparkSession, path: str | Sequence[str], prefix: str = "") -> DataFrame:
+    """``path, names`` of every file with text: the columns of its first line that is not blank.
+
+    Each file is one task that stops after that line, so large files are not
+    read through.  A file that cannot be read fails the job.
+    """
+    single = spark.newSession()
+    # One file per partition, handed over line by line.
+    single.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
+    single.conf.set("spark.sql.files.openCostInBytes", str(1 << 50))
+    single.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    paths = [path] if isinstance(path, str) else list(path)
+    lines = single.read.option("pathGlobFilter", f"{prefix}*").text(paths)
+
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            file, line = batch.column(0)[0].as_py(), batch.column(1)[0].as_py()
+            if line.strip():
+                names = next(csv.reader([line.removeprefix("\ufeff")]))
+                yield pa.RecordBatch.from_pydict(
+                    {"path": [file], "names": pa.array([names], pa.list_(pa.string()))}
+                )
+                return
+
+    return lines.select("_metadata.file_path", "value").mapInArrow(
+        first_line, "path string, names array<string>"
+    )
+
+
+def skipped_files(
+    spark: SparkSession, path: str | Sequence[str], prefix: str = "transactions"
+) -> DataFrame:
+    """``path, reason`` of the files that ``read_bronze`` leaves out.
+
+    A file belongs to the log only if its header is the contract's, in its
+    order.  Files without any text hold no rows and are not listed.
+    """
+    lower = F.transform("names", lambda name: F.lower(F.trim(name)))
+    wanted = F.array(*[F.lit(c) for c in schema.BRONZE_COLUMNS])
+    return headers(spark, path, prefix).where(lower != wanted).select(
+        "path", F.concat(F.lit("header: "), F.concat_ws(",", "names")).alias("reason")
+    )
+
+
 def read_games(spark: SparkSession, path: str) -> DataFrame:
-    """The games file; its unnamed first column is the game's name."""
-    games = spark.read.schema(schema.GAMES).option("enforceSchema", True).csv(path, header=True)
-    return cast_times(games)
+    """The games file; its unnamed first column is the game's name.
+
+    Columns are found by name.  Files that lack a column, or that differ from
+    each other, are an error.
+    """
+    found = [r.names for r in headers(spark, path).select("names").distinct().limit(2).collect()]
+    if len(found) != 1:
+        raise ValueError(f"{path}: {'no header' if not found else 'files with different headers'}")
+    kinds = {f.name: f.dataType.simpleString() for f in schema.GAMES.fields}
+    names = [n.strip() or "game_name" for n in found[0]]
+    if len(set(names)) < len(names) or not set(kinds) <= set(names):
+        raise ValueError(f"{path}: the header lacks or repeats columns: {','.join(names)}")
+    types = ", ".join(f"`{n}` {kinds.get(n, 'string')}" for n in names)
+    games = spark.read.schema(types).csv(path, header=True, enforceSchema=True)
+    return cast_times(games.select(*kinds))
 
 
 def cast_times(df: DataFrame, cols: Sequence[str] = ("date", "timestamp")) -> DataFrame:
@@ -32,9 +90,10 @@ def read_bronze(
 ) -> DataFrame:
     """Every file below ``path`` whose name starts with ``prefix``, as text.
 
-    One scan over all files, with the file each row came from.  A file that
-    cannot be read or has other columns is logged and skipped as a whole; with
-    ``skip_bad_files=False`` it fails the load.
+    One scan over all files, with the file each row came from.  Headers are
+    looked at first, and a file with another one is left out as a whole, however
+    many splits it has; ``skipped_files`` names it.  With ``skip_bad_files=False``
+    such a file fails the load.  A file that cannot be read always does.
     """
     reader = (
         spark.read.schema(schema.BRONZE)
@@ -44,11 +103,15 @@ def read_bronze(
         # Without it a plain count would not look at headers and count bad files.
         .option("columnPruning", False)
         .option("pathGlobFilter", f"{prefix}*")
-        .option("ignoreCorruptFiles", skip_bad_files)
-        .option("ignoreMissingFiles", skip_bad_files)
     )
     paths = [path] if isinstance(path, str) else list(path)
-    return reader.csv(paths).withColumn("source_file", F.col("_metadata.file_path"))
+    bronze = reader.csv(paths)
+    if skip_bad_files:
+        # Paths only, like the file listing the driver holds anyway; the filter prunes files.
+        bad = [r.path for r in skipped_files(spark, paths, prefix).select("path").collect()]
+        if bad:
+            bronze = bronze.where(~F.col("_metadata.file_path").isin(bad))
+    return bronze.withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def discover(spark: SparkSession, path: str, prefix: str = "transactions") -> DataFrame:
