@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wagerscope.llm import language, minhash, mixing, pieces, quality, secrets, simhash, tokenfile, vectors, warc
+from wagerscope.llm import audit, language, minhash, mixing, pieces, quality, secrets, simhash, tokenfile, vectors, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_one_bit_codes": vectors.op8_one_bit_codes,
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
+    "op11_filter_audit": audit.op11_filter_audit,
     "op13_minhash": minhash.op13_minhash,
 }
 
@@ -22,4 +23,5 @@ ORACLE: dict[str, str] = {
     "op1_warc": warc.OP1_SQL,
     "op8_one_bit_codes": vectors.OP8_SQL,
     "op10_mixing": mixing.OP10_SQL,
+    "op11_filter_audit": audit.OP11_SQL,
 }
