@@ -52,6 +52,8 @@ def test_signature_depends_on_set_only():
     assert (one == two).all()
     single = minhash.signatures(values[:1], np.array([0, 1]), 120)
     assert (single == 5).all()  # every bin densified from the one filled bin
+    h, off = minhash.shingle_hashes(np.array([1, 2, 3, 4, 5, 6, 1, 2, 3, 4, 5, 9, 9], np.int64), np.array([0, 6, 6, 11, 13]), 5)
+    assert list(np.diff(off)) == [2, 0, 1, 1]
 
 
 def test_awkward_rows_against_all_pairs(spark):

@@ -2,8 +2,8 @@
 
 A document's set is its distinct shingles of ``shingle`` words (A-Z lower-cased,
 words are runs of non-white-space); a text with fewer words is one shingle, a
-text without words has the empty set and is linked with nothing.  Shingles are
-hashed once with XXH64 (Spark's ``xxhash64``).
+text without words has the empty set and is linked with nothing.  A shingle is
+its words' XXH64 hashes folded into one 64-bit hash; sets are sets of those.
 
 Signature: one permutation.  Each hash falls into one of ``bands * rows`` bins by
 its low 32 bits, and a bin keeps its smallest hash.  Empty bins are filled by
@@ -19,8 +19,11 @@ however large it is, and no pair list of the bucket exists anywhere.  Every edge
 is confirmed on the full sets (``100 * |A & B| >= percent * |A | B|``), and the
 components of the confirmed edges are found by alternating stars.
 
-Exact copies are one set: texts are folded to distinct sets (by a 128-bit digest
-of the sorted hashes) before any signature is made.
+Words are hashed by Spark; shingle hashes, signatures and keys are made in
+Arrow batches with numpy, and only the keys and a 128-bit digest of each set
+are stored.  Exact copies are one set: rows are folded to distinct digests
+before buckets are formed.  Full sets are rebuilt only for the rows at the ends
+of candidate edges.
 """
 
 from __future__ import annotations
@@ -89,55 +92,118 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """``_rid, doc_id, n_shingles, hs, d1, d2`` per row of ``docs``.
+def word_hashes(docs: DataFrame) -> DataFrame:
+    """``_rid, doc_id, wh``: XXH64 of every word (A-Z lower-cased) of each row, in order.
 
-    ``hs`` is the sorted list of distinct shingle hashes, ``n_shingles`` the
-    number of distinct shingles (counted on the shingles themselves), ``d1, d2``
-    a 128-bit digest of ``hs``.  Null and blank texts have no shingles.
+    ``_rid`` numbers the rows; ``docs`` must read the same rows in the same order
+    each time it is evaluated (a table read does).
     """
     lower = F.translate(F.coalesce(F.col("text"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
                         "abcdefghijklmnopqrstuvwxyz")
     words = F.filter(F.split(lower, f"{SPACE}+"), lambda w: w != "")
-    n = F.size("_w")
-    last = F.greatest(n - shingle, F.lit(0))
-    shingles = F.when(n == 0, F.array().cast("array<string>")).otherwise(
-        F.array_distinct(F.transform(
-            F.sequence(F.lit(0), last),
-            lambda i: F.array_join(F.slice(F.col("_w"), i + 1, F.lit(shingle)), " "),
-        ))
-    )
-    hashed = F.array_sort(F.array_distinct(F.transform(F.col("_s"), lambda s: F.xxhash64(s))))
-    return (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), words.alias("_w"))
-        .select(F.monotonically_increasing_id().alias("_rid"), "doc_id", shingles.alias("_s"))
-        .select("_rid", "doc_id", F.size("_s").cast("long").alias("n_shingles"), hashed.alias("hs"))
-        .withColumns({"d1": F.xxhash64("hs"), "d2": F.xxhash64(F.lit("second"), "hs")})
+    return docs.select(
+        F.monotonically_increasing_id().alias("_rid"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.transform(words, lambda w: F.xxhash64(w)).alias("wh"),
     )
 
 
-def _band_rows(sets: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``d1, d2, band, key`` for every set, ``bands`` rows each."""
-    schema = T.StructType([T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType()),
-                           T.StructField("keys", T.ArrayType(T.LongType()))])
+def shingle_hashes(values: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes per row, from the word hashes of each row.
+
+    A shingle is ``shingle`` consecutive words; a row with fewer words is one
+    shingle of all of them; a row without words has none.  Returns the hashes
+    and the offsets of each row's hashes.
+    """
+    rows = len(offsets) - 1
+    lengths = np.diff(offsets)
+    per_row = np.where(lengths >= shingle, lengths - shingle + 1, np.minimum(lengths, 1))
+    row = np.repeat(np.arange(rows), per_row)
+    first = np.repeat(offsets[:-1] - np.cumsum(np.r_[0, per_row[:-1]]), per_row) + np.arange(per_row.sum())
+    span = np.minimum(lengths[row], shingle).astype(np.uint64)
+    words = values.astype(np.int64).view(np.uint64)
+    h = np.full(len(first), 0x51ED2701, np.uint64)
+    if len(words):
+        for t in range(shingle):
+            at = np.minimum(first + t, len(words) - 1)
+            h = np.where(np.uint64(t) < span, _mix(h ^ words[at]), h)
+    h = _mix(h ^ span).view(np.int64)
+    order = np.lexsort((h, row))
+    h, row = h[order], row[order]
+    fresh = np.r_[True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])] if len(h) else np.zeros(0, bool)
+    h, row = h[fresh], row[fresh]
+    return h, np.r_[0, np.cumsum(np.bincount(row, minlength=rows))].astype(np.int64)
+
+
+def _digests(h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit digests of each row's hash set (sums of mixed members)."""
+    rows = len(offsets) - 1
+    d1, d2 = np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
+    if len(h):
+        row = np.repeat(np.arange(rows), np.diff(offsets))
+        u = h.view(np.uint64)
+        with np.errstate(over="ignore"):
+            np.add.at(d1, row, _mix(u ^ np.uint64(0x243F6A8885A308D3)))
+            np.add.at(d2, row, _mix(u ^ np.uint64(0x13198A2E03707344)))
+    return d1.view(np.int64), d2.view(np.int64)
+
+
+def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, pa.int64()))
+
+
+def _flat(column) -> tuple[np.ndarray, np.ndarray]:
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    values = column.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]]
+    return values, offsets - offsets[0]
+
+
+SIGNED = T.StructType([
+    *[T.StructField(c, T.LongType()) for c in ("_rid", "doc_id", "n_shingles", "d1", "d2")],
+    T.StructField("keys", T.ArrayType(T.LongType())),
+])
+
+
+def signed(words: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
+    """``_rid, doc_id, n_shingles, d1, d2, keys`` from ``word_hashes`` rows.
+
+    ``keys`` holds the ``bands`` bucket keys (empty without shingles); the sets
+    themselves are not kept.
+    """
+
+    def run(batches):
+        for batch in batches:
+            values, offsets = _flat(batch.column(2))
+            h, hoff = shingle_hashes(values, offsets, shingle)
+            d1, d2 = _digests(h, hoff)
+            sizes = np.diff(hoff)
+            some = np.flatnonzero(sizes > 0)
+            keys = np.zeros((0, bands), np.int64)
+            if len(some):
+                sub = np.r_[0, np.cumsum(sizes[some])]
+                keys = band_keys(signatures(h, sub, bands * rows), bands, rows)
+            key_offsets = np.r_[0, np.cumsum(np.where(sizes > 0, bands, 0))]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(d1), pa.array(d2),
+                 _lists(keys.reshape(-1), key_offsets)],
+                names=SIGNED.names)
+
+    return words.mapInArrow(run, SIGNED)
+
+
+def full_sets(words: DataFrame, shingle: int) -> DataFrame:
+    """``_rid, hs``: the sorted distinct shingle hashes of each ``word_hashes`` row."""
+    schema = T.StructType([T.StructField("_rid", T.LongType()), T.StructField("hs", T.ArrayType(T.LongType()))])
 
     def run(batches):
         for batch in batches:
-            hs = batch.column(2)
-            if isinstance(hs, pa.ChunkedArray):
-                hs = hs.combine_chunks()
-            offsets = hs.offsets.to_numpy().astype(np.int64)
-            offsets = offsets - offsets[0]
-            values = hs.flatten().to_numpy(zero_copy_only=False)
-            keys = band_keys(signatures(values, offsets, bands * rows), bands, rows) if len(batch) else (
-                np.zeros((0, bands), np.int64))
-            flat = pa.ListArray.from_arrays(np.arange(0, len(batch) * bands + 1, bands, dtype=np.int32),
-                                            pa.array(keys.reshape(-1), pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), flat], schema=pa.schema(
-                [("d1", pa.int64()), ("d2", pa.int64()), ("keys", pa.list_(pa.int64()))]))
-
-    return sets.select("d1", "d2", "hs").mapInArrow(run, schema).select(
-        "d1", "d2", F.posexplode("keys").alias("band", "key"))
+            values, offsets = _flat(batch.column(1))
+            h, hoff = shingle_hashes(values, offsets, shingle)
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(h, hoff)], names=schema.names)
+
+    return words.select("_rid", "wh").mapInArrow(run, schema)
 
 
 def candidates(members: DataFrame) -> DataFrame:
@@ -159,14 +225,21 @@ def candidates(members: DataFrame) -> DataFrame:
         F.least("sid", "centre").alias("u"), F.greatest("sid", "centre").alias("v")).distinct()
 
 
-def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The ``u, v`` edges whose full sets meet ``100 * |A & B| >= percent * |A | B|``."""
-    ends = edges.select(F.col("u").alias("_rid")).union(edges.select(F.col("v").alias("_rid"))).distinct()
-    needed = sets.select("_rid", "n_shingles", "hs").join(ends, "_rid", "left_semi")
-    left = needed.select(F.col("_rid").alias("u"), F.col("n_shingles").alias("nu"), F.col("hs").alias("hu"))
-    right = needed.select(F.col("_rid").alias("v"), F.col("n_shingles").alias("nv"), F.col("hs").alias("hv"))
+
+
+def confirmed(edges: DataFrame, words: DataFrame, shingle: int, percent: int, folder: str) -> DataFrame:
+    """The ``u, v`` edges whose full sets meet ``100 * |A & B| >= percent * |A | B|``.
+
+    Only the rows at the ends of an edge get their sets rebuilt; the list of
+    ends is stored first, so Spark's size check can broadcast it when small.
+    """
+    ends = stored(edges.select(F.col("u").alias("_rid")).union(edges.select(F.col("v").alias("_rid"))).distinct(),
+                  folder, "ends")
+    needed = stored(full_sets(words.join(ends, "_rid", "left_semi"), shingle), folder, "needed")
+    left = needed.select(F.col("_rid").alias("u"), F.col("hs").alias("hu"))
+    right = needed.select(F.col("_rid").alias("v"), F.col("hs").alias("hv"))
     both = edges.join(left, "u").join(right, "v").withColumn("i", F.size(F.array_intersect("hu", "hv")))
-    union = F.col("nu") + F.col("nv") - F.col("i")
+    union = F.size("hu") + F.size("hv") - F.col("i")
     return both.filter(F.lit(100) * F.col("i") >= F.lit(percent) * union).select("u", "v")
 
 
@@ -181,21 +254,24 @@ def near_duplicates(
     repeated and share one set.  A null doc_id takes part in linking but is the
     component's id only when no row of it has an id (then ``kept`` is true).
     Texts of any length are used whole.  Other columns, whatever their names and
-    types, are ignored.  An empty table gives no rows.
+    types, are ignored.  An empty table gives no rows.  ``docs`` must read the
+    same rows in the same order each time (a table read does).
     """
     folder = work_folder(docs.sparkSession)
-    rows_ = stored(shingle_sets(docs.select("doc_id", "text"), shingle), folder, "shingled")
-    with_words = rows_.filter("n_shingles > 0")
+    words = word_hashes(docs.select("doc_id", "text"))
+    meta = stored(signed(words, shingle, bands, rows), folder, "signed")
+    with_words = meta.filter("n_shingles > 0")
     sets = stored(with_words.groupBy("d1", "d2").agg(F.min("_rid").alias("sid")), folder, "sets")
-    # keys of every row (cheap), one row per set and band after the fold
+    # one row per set and band after the fold, so exact copies weigh once
     members = stored(
-        _band_rows(with_words, bands, rows).distinct().join(sets, ["d1", "d2"]).select("band", "key", "sid").distinct(),
+        with_words.select("d1", "d2", F.posexplode("keys").alias("band", "key")).distinct()
+        .join(sets, ["d1", "d2"]).select("band", "key", "sid"),
         folder, "members",
     )
-    edges = stored(confirmed(candidates(members), with_words, percent), folder, "edges")
-    roots = stored(components(edges), folder, "roots")
+    edges = stored(candidates(members), folder, "candidates")
+    roots = stored(components(confirmed(edges, words, shingle, percent, folder)), folder, "roots")
     placed = (
-        rows_.select("_rid", "doc_id", "n_shingles", "d1", "d2")
+        meta.select("_rid", "doc_id", "n_shingles", "d1", "d2")
         .join(sets, ["d1", "d2"], "left")
         .join(roots.withColumnRenamed("node", "sid"), "sid", "left")
         .withColumn("root", F.coalesce("root", "sid", F.col("_rid")))
@@ -210,4 +286,3 @@ def near_duplicates(
 def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document of ``documents``: 5-word shingle sets linked at Jaccard 0.85 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"))
-
