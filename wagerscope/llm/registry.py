@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wagerscope.llm import audit, language, minhash, mixing, pieces, quality, secrets, simhash, tokenfile, vectors, warc
+from wagerscope.llm import audit, language, minhash, mixing, periodic, pieces, quality, secrets, simhash, tokenfile, vectors, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
     "op11_filter_audit": audit.op11_filter_audit,
+    "op12_periodic_runs": periodic.op12_periodic_runs,
     "op13_minhash": minhash.op13_minhash,
 }
 
