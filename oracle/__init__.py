@@ -7,3 +7,6 @@ from oracle import daily, dashboards, lifecycle, players, rows, segments, source
 ORACLE: dict[str, str] = {}
 for _module in (rows, daily, players, segments, dashboards, lifecycle, sources):
     ORACLE.update(_module.SQL)
+
+# The same answers from the dated store as from the whole log.
+ORACLE.update({f"{name}_dated": ORACLE[name] for name in ("segment_thresholds", "daily_by_segment", "game_preference")})

@@ -87,4 +87,10 @@ gone_by AS (
         SELECT 'silver', count(*) FROM bets WHERE game_id <> 'G005' UNION ALL
         SELECT 'rejects', count(*) FROM bets WHERE game_id = 'G005'""",
     ),
+    "dated_store_days": twin(
+        BETS,
+        "SELECT date, count(*) AS bets, sum(bet_amount) AS wagered, sum(net_result) AS net, "
+        "count(DISTINCT player_id) AS players FROM bets GROUP BY date",
+        "wagered net",
+    ),
 }

@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(home / "warehouse"))
+        .config("spark.checkpoint.dir", str(home / "shared"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

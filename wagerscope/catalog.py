@@ -13,7 +13,7 @@ from wagerscope.functions import calendar, scans
 from wagerscope.functions.metrics import ggr, mean, ratio
 from wagerscope.operators import clusters, daily, dashboards, lifecycle, players, rows, segments
 from wagerscope.session import work_folder
-from wagerscope.sources import adapters, files, tables
+from wagerscope.sources import adapters, dated, files, tables
 from wagerscope.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1063,3 +1063,58 @@ def rejected_rows(spark, d):
     return files.row_counts(
         bronze=bronze, silver=files.silver(bronze), rejects=files.rejects(bronze)
     )
+
+
+# --- dated store -------------------------------------------------------------------
+
+
+def _bets_by_day(spark: SparkSession, d: str) -> str:
+    """The typed bets in a dated store: two batches of days, then the first day again late.
+
+    The typed log is made once; the batches and the late day are day filters on
+    it, each written with dynamic partition overwrite.  Two dates reach the driver.
+    """
+    tx = stored(adapters.bets(spark, d))
+    path = f"{work_folder(spark)}/bets_by_day"
+    first, last = tx.agg(F.min("date"), F.max("date")).first()
+    if first is None:
+        dated.write_days(tx, path)
+        return path
+    dated.load_in_batches(tx, path, [first + (last - first) / 2])
+    dated.write_days(tx.where(F.col("date") == F.lit(first)), path)  # replaces that day, adds nothing
+    return path
+
+
+@query
+def dated_store_days(spark, d):
+    """Per day of the store, what the whole log holds for that day."""
+    store, _ = dated.read_days(spark, _bets_by_day(spark, d))
+    return store.groupBy("date").agg(
+        F.count("*").alias("bets"),
+        F.sum("bet_amount").alias("wagered"),
+        F.sum("net_result").alias("net"),
+        F.count_distinct("player_id").alias("players"),
+    )
+
+
+@query
+def segment_thresholds_dated(spark, d):
+    """M1/M2 from the store: the 90-day window is a partition filter."""
+    store, as_of = dated.read_days(spark, _bets_by_day(spark, d), 90)
+    return segments.segment_thresholds(segments.light_features(store, as_of=as_of))
+
+
+@query
+def daily_by_segment_dated(spark, d):
+    """G1 from the store; segments and metrics read the same pruned window."""
+    store, as_of = dated.read_days(spark, _bets_by_day(spark, d), 90)
+    segs = segments.player_segments(store, as_of=as_of)
+    return dashboards.daily_by_segment(store, segs, as_of=as_of)
+
+
+@query
+def game_preference_dated(spark, d):
+    """G5 from the store: 30 days of play by the segments of 90 days."""
+    store, as_of = dated.read_days(spark, _bets_by_day(spark, d), 90)
+    segs = segments.player_segments(store, as_of=as_of)
+    return dashboards.game_preference(store, segs, as_of=as_of)
