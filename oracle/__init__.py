@@ -10,3 +10,5 @@ for _module in (rows, daily, players, segments, dashboards, lifecycle, sources):
 
 # The same answers from the dated store as from the whole log.
 ORACLE.update({f"{name}_dated": ORACLE[name] for name in ("segment_thresholds", "daily_by_segment", "game_preference")})
+# The same answers from the activity bitmaps as from the active months.
+ORACLE.update({f"{name}_bitmaps": ORACLE[name] for name in ("player_cohorts", "cohort_retention", "cohort_matrix")})

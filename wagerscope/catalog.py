@@ -1118,3 +1118,37 @@ def game_preference_dated(spark, d):
     store, as_of = dated.read_days(spark, _bets_by_day(spark, d), 90)
     segs = segments.player_segments(store, as_of=as_of)
     return dashboards.game_preference(store, segs, as_of=as_of)
+
+
+# --- activity bitmaps ----------------------------------------------------------------
+
+
+def _ledger_bitmaps(spark: SparkSession, d: str) -> DataFrame:
+    from wagerscope.plans import bitmaps
+
+    return stored(bitmaps.month_bitmaps(adapters.ledger(spark, d)))
+
+
+@query
+def player_cohorts_bitmaps(spark, d):
+    """L4 from the month bitmaps: the cohort is the lowest set bit."""
+    from wagerscope.plans import bitmaps
+
+    return _ledger_bitmaps(spark, d).select(
+        "player_id", bitmaps.month_start(F.col("cohort")).alias("cohort_month"))
+
+
+@query
+def cohort_retention_bitmaps(spark, d):
+    """L5 from the month bitmaps, every index in one aggregate."""
+    from wagerscope.plans import bitmaps
+
+    return bitmaps.cohort_retention(_ledger_bitmaps(spark, d))
+
+
+@query
+def cohort_matrix_bitmaps(spark, d):
+    """L6 from the month bitmaps."""
+    from wagerscope.plans import bitmaps
+
+    return bitmaps.cohort_matrix(_ledger_bitmaps(spark, d))
