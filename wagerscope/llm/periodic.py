@@ -11,7 +11,8 @@ common extension (LCE) queries, which gives the maximal ``q``-periodic stretch
 around it.  A point inside a run already found with a period dividing ``q``
 gives that run again and is skipped.
 
-LCE queries are answered on a recompression grammar of the word sequence,
+An extension first compares ``WINDOW`` words directly; longer ones (the long
+periodic stretches) are answered on a recompression grammar of the word sequence,
 without suffix arrays: levels alternate block compression (a maximal repeat
 ``a^k`` becomes one symbol) and pair compression (with the symbols split into a
 left and a right half by a hash, each left-right pair becomes one symbol).  A
@@ -41,6 +42,8 @@ from wagerscope.llm.common import SPACE, table
 
 #: Grid points examined at once; bounds the memory of the candidate arrays.
 GRID_CHUNK = 1 << 20
+#: Words compared directly before an extension turns to the grammar.
+WINDOW = 64
 
 
 def _side(symbols: np.ndarray, level: int) -> np.ndarray:
@@ -68,8 +71,8 @@ def _rests(symbols: np.ndarray) -> np.ndarray:
     n = len(symbols)
     if not n:
         return np.zeros(0, np.int64)
-    ends = np.r_[np.flatnonzero(symbols[1:] != symbols[:-1]) + 1, n]
-    run_end = np.repeat(ends, np.diff(np.r_[0, ends]))
+    ends = np.append(np.flatnonzero(symbols[1:] != symbols[:-1]) + 1, n)
+    run_end = np.repeat(ends, np.diff(ends, prepend=0))
     return run_end - np.arange(n)
 
 
@@ -92,31 +95,31 @@ class Grammar:
             level += 1
             before = len(syms)
             # block compression: a maximal repeat of one symbol becomes one symbol
-            heads = np.flatnonzero(np.r_[True, syms[1:] != syms[:-1]])
-            lengths = np.diff(np.r_[heads, len(syms)])
+            heads = np.flatnonzero(np.concatenate(([True], syms[1:] != syms[:-1])))
+            lengths = np.diff(np.append(heads, len(syms)))
             if (lengths > 1).any():
                 multi = lengths > 1
-                keys = np.stack([syms[heads][multi], lengths[multi]], 1)
-                uniq, inverse = np.unique(keys, axis=0, return_inverse=True)
+                keys = syms[heads][multi] * (n + 1) + lengths[multi]  # symbols < 2n + 1, lengths <= n
+                uniq, inverse = np.unique(keys, return_inverse=True)
                 syms = syms[heads].copy()
                 syms[multi] = fresh + inverse.reshape(-1)
                 fresh += len(uniq)
-                starts = np.r_[starts[heads], n]
+                starts = np.append(starts[heads], n)
                 self.levels.append(_level(starts, syms))
             # pair compression: a left symbol followed by a right one becomes one symbol
             if len(syms) > 1:
                 side = _side(syms, level)
                 pair = np.flatnonzero((side[:-1] == 0) & (side[1:] == 1))
                 if len(pair):
-                    keys = np.stack([syms[pair], syms[pair + 1]], 1)
-                    uniq, inverse = np.unique(keys, axis=0, return_inverse=True)
+                    keys = syms[pair] * fresh + syms[pair + 1]
+                    uniq, inverse = np.unique(keys, return_inverse=True)
                     merged = syms.copy()
                     merged[pair] = fresh + inverse.reshape(-1)
                     fresh += len(uniq)
                     keep = np.ones(len(syms), bool)
                     keep[pair + 1] = False
                     syms = merged[keep]
-                    starts = np.r_[starts[:-1][keep], n]
+                    starts = np.append(starts[:-1][keep], n)
                     self.levels.append(_level(starts, syms))
             idle = idle + 1 if len(syms) == before else 0
 
@@ -162,7 +165,30 @@ def runs(ids: np.ndarray, min_length: int = 24) -> list[tuple[int, int, int]]:
     n = len(ids)
     if n < 2:
         return []
-    forward, backward = Grammar(ids), Grammar(ids[::-1].copy())
+    grammars: list[Grammar] = []  # forward and backward, built at the first long extension
+
+    def grammar() -> list[Grammar]:
+        if not grammars:
+            grammars.extend([Grammar(ids), Grammar(ids[::-1].copy())])
+        return grammars
+
+    def ahead_of(a: int, b: int) -> int:
+        """LCE(a, b): a direct look at ``WINDOW`` words, the grammar beyond."""
+        m = min(WINDOW, n - b)
+        miss = np.flatnonzero(ids[a:a + m] != ids[b:b + m])
+        if len(miss) or m < WINDOW:
+            return int(miss[0]) if len(miss) else m
+        return WINDOW + grammar()[0].lce(a + WINDOW, b + WINDOW)
+
+    def back_of(a: int, b: int) -> int:
+        """How many words before ``a`` equal those before ``b``."""
+        m = min(WINDOW, a)
+        if not m:
+            return 0
+        miss = np.flatnonzero(ids[a - m:a][::-1] != ids[b - m:b][::-1])
+        if len(miss) or m < WINDOW:
+            return int(miss[0]) if len(miss) else m
+        return WINDOW + grammar()[1].lce(n - a + WINDOW, n - b + WINDOW)
     found: dict[tuple[int, int], int] = {}
     by_period: list[tuple[int, int, int]] = []  # (start, end, period) in order of period
     q = 1
@@ -193,10 +219,10 @@ def runs(ids: np.ndarray, min_length: int = 24) -> list[tuple[int, int, int]]:
             for j in sel[~inside].tolist():
                 if j < last_end - period:
                     continue
-                ahead = forward.lce(j, j + period)
+                ahead = ahead_of(j, j + period)
                 if ahead < period:
                     continue
-                back = backward.lce(n - j, n - j - period) if j else 0
+                back = back_of(j, j + period)
                 start, end = j - back, j + period + ahead
                 last_end = end
                 if end - start >= max(min_length, 3 * period) and (start, end) not in found:
