@@ -9,9 +9,10 @@ Five document filters fail a text when:
 * E: its text equals the text of a smaller doc_id anywhere in the table.
 
 A and B come from the document-term matrix: words are dictionary-encoded
-globally (one id per distinct word of the whole table), term counts per
-document are the matrix entries, and the matrix is stored as CSR shards (term
-slices of the matrix, each a CSR block over its documents).  Row sums give the
+globally (one id per distinct word of the whole table: its XXH64, checked
+against a stored dictionary to be one-to-one), term counts per document are the
+matrix entries, and the matrix is stored as CSR shards (each a CSR block over a
+slice of the documents, built inside the task that read them).  Row sums give the
 words of a document, nonzero counts its distinct words.  C, D and E are
 attached per document, and everything is folded to counts per (part, failure
 mask) before the 120 filter orders are laid over them, so the report costs the
@@ -37,19 +38,27 @@ LETTERS = "ABCDE"
 SYMBOLS = "[#$%&*|]"
 
 
-def matrix_entries(docs: DataFrame, folder: str) -> DataFrame:
-    """``_rid, term, tf``: the nonzero entries of the document-term matrix.
+def hashed_words(docs: DataFrame) -> DataFrame:
+    """``_rid, terms``: the global term id (XXH64 of the word) of every word, in order."""
+    words = F.filter(F.split("text", f"{SPACE}+"), lambda w: w != "")
+    return docs.select("_rid", F.transform(words, lambda w: F.xxhash64(w)).alias("terms"))
 
-    Term counts are combined inside each task before the shuffle, so a word
-    repeated many times in a document travels once.  The dictionary (``word,
-    term``) is stored in ``folder``; its ids are unique, not dense.
+
+def dictionary(docs: DataFrame, folder: str) -> DataFrame:
+    """``term, word``: the stored dictionary of all distinct words of ``docs`` (``text``).
+
+    Ids are XXH64 of the word, so every task encodes a word alike without a
+    join.  Words are folded per task before the shuffle.  Raises if two words
+    ever share an id (then the ids are not a dictionary).
     """
-    tokens = docs.select("_rid", F.explode(F.split("text", f"{SPACE}+")).alias("word")).filter("word <> ''")
-    pairs = tokens.groupBy("_rid", "word").agg(F.count("*").alias("tf"))
-    dictionary = stored(
-        pairs.select("word").distinct().withColumn("term", F.monotonically_increasing_id()), folder, "dictionary"
-    )
-    return pairs.join(dictionary, "word").select("_rid", "term", "tf")
+    words = docs.select(F.explode(F.split("text", f"{SPACE}+")).alias("word")).filter("word <> ''")
+    folded = words.groupBy(F.xxhash64("word").alias("term")).agg(
+        F.min("word").alias("word"), F.max("word").alias("other"))
+    table_ = stored(folded, folder, "dictionary")
+    clashes = table_.where("word <> other").count()
+    if clashes:
+        raise ValueError(f"{clashes} term ids are shared by two words")
+    return table_.drop("other")
 
 
 _CSR = T.StructType([
@@ -61,15 +70,14 @@ _CSR = T.StructType([
 ])
 
 
-def csr_shards(entries: DataFrame) -> DataFrame:
-    """One CSR block per Arrow batch of ``entries``: ``shard, rows, indptr, indices, data``.
+def csr_shards(hashed: DataFrame) -> DataFrame:
+    """One CSR block per Arrow batch of documents: ``shard, rows, indptr, indices, data``.
 
-    ``rows`` are the documents of the block in order, ``indptr`` their offsets
-    into ``indices`` (term ids, ascending) and ``data`` (term counts).  Entries of
-    one document can lie in several blocks (the blocks slice the terms), so
-    per-document totals are sums over blocks.
+    ``rows`` are the documents of the block (all of them, also those without
+    words), ``indptr`` their offsets into ``indices`` (term ids, ascending) and
+    ``data`` (term counts).  Blocks slice the documents, so each row is whole
+    in one block and the matrix is built without a shuffle.
     """
-
     schema = pa.schema([(f.name, pa.int32() if f.name == "shard" else pa.list_(pa.int64())) for f in _CSR.fields])
 
     def one(values: np.ndarray) -> pa.ListArray:
@@ -80,15 +88,24 @@ def csr_shards(entries: DataFrame) -> DataFrame:
 
         shard = pyspark.TaskContext.get().partitionId()
         for batch in batches:
-            rid, term, tf = (batch.column(i).to_numpy() for i in range(3))
-            order = np.lexsort((term, rid))
-            rid, term, tf = rid[order], term[order], tf[order]
-            starts = np.flatnonzero(np.r_[True, rid[1:] != rid[:-1]]) if len(rid) else np.zeros(0, np.int64)
-            indptr = np.r_[starts, len(rid)].astype(np.int64)
+            rids = batch.column(0).to_numpy()
+            terms = batch.column(1)
+            offsets = terms.offsets.to_numpy().astype(np.int64)
+            values = terms.values.to_numpy()[offsets[0]:offsets[-1]]
+            row = np.repeat(np.arange(len(rids)), np.diff(offsets))
+            order = np.lexsort((values, row))
+            row, values = row[order], values[order]
+            new = np.concatenate(([True], (row[1:] != row[:-1]) | (values[1:] != values[:-1]))) if len(row) else (
+                np.zeros(0, bool))
+            starts = np.flatnonzero(new)
+            counts = np.diff(np.append(starts, len(row)))
+            indptr = np.searchsorted(row[starts], np.arange(len(rids) + 1)) if len(starts) else (
+                np.zeros(len(rids) + 1, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), one(rid[starts]), one(indptr), one(term), one(tf)], schema=schema)
+                [pa.array([shard], pa.int32()), one(rids), one(indptr), one(values[starts]), one(counts)],
+                schema=schema)
 
-    return entries.mapInArrow(build, _CSR)
+    return hashed.mapInArrow(build, _CSR)
 
 
 def row_statistics(shards: DataFrame) -> DataFrame:
@@ -105,12 +122,11 @@ def row_statistics(shards: DataFrame) -> DataFrame:
                 rows, ptr, data = rv[ro[b]:ro[b + 1]], pv[po[b]:po[b + 1]], dv[do[b]:do[b + 1]]
                 if not len(rows):
                     continue
+                sums = np.add.reduceat(np.append(data, 0), ptr[:-1]) * (np.diff(ptr) > 0)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows), pa.array(np.add.reduceat(data, ptr[:-1])), pa.array(np.diff(ptr))],
-                    names=schema.names)
+                    [pa.array(rows), pa.array(sums.astype(np.int64)), pa.array(np.diff(ptr))], names=schema.names)
 
-    partial = shards.select("rows", "indptr", "data").mapInArrow(reduce, schema)
-    return partial.groupBy("_rid").agg(F.sum("n_words").alias("n_words"), F.sum("n_distinct").alias("n_distinct"))
+    return shards.select("rows", "indptr", "data").mapInArrow(reduce, schema)
 
 
 def failure_masks(docs: DataFrame, labels: DataFrame | None, min_words: int = 200) -> DataFrame:
@@ -128,7 +144,8 @@ def failure_masks(docs: DataFrame, labels: DataFrame | None, min_words: int = 20
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    shards = stored(csr_shards(matrix_entries(base.select("_rid", "text"), folder)), folder, "csr")
+    dictionary(base, folder)
+    shards = stored(csr_shards(hashed_words(base)), folder, "csr")
     stats = row_statistics(shards)
     flags = base.select(
         "_rid", "doc_id", "part",
