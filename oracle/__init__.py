@@ -12,3 +12,5 @@ for _module in (rows, daily, players, segments, dashboards, lifecycle, sources):
 ORACLE.update({f"{name}_dated": ORACLE[name] for name in ("segment_thresholds", "daily_by_segment", "game_preference")})
 # The same answers from the activity bitmaps as from the active months.
 ORACLE.update({f"{name}_bitmaps": ORACLE[name] for name in ("player_cohorts", "cohort_retention", "cohort_matrix")})
+# The same answers when the log is sequenced in two loads with a carried state.
+ORACLE.update({f"{name}_carried": ORACLE[name] for name in ("running_balance", "streak_lengths", "previous_bets")})

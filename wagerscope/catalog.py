@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wagerscope import schema
-from wagerscope.functions import calendar, scans
+from wagerscope.functions import calendar, carry, scans
 from wagerscope.functions.metrics import ggr, mean, ratio
 from wagerscope.operators import clusters, daily, dashboards, lifecycle, players, rows, segments
 from wagerscope.session import work_folder
@@ -1152,3 +1152,41 @@ def cohort_matrix_bitmaps(spark, d):
     from wagerscope.plans import bitmaps
 
     return bitmaps.cohort_matrix(_ledger_bitmaps(spark, d))
+
+
+# --- carried ordered state -------------------------------------------------------------
+
+
+def _two_loads(spark: SparkSession, d: str) -> DataFrame:
+    """Bets sequenced in two loads split at the middle day; the second reads only the stored state."""
+    tx = stored(adapters.bets(spark, d))
+    spec = {
+        "sums": {"net_result": "session_balance"},
+        "previous": {"bet_amount": "prev_bet", "net_result": "prev_net"},
+        "runs": (F.col("win_amount") > 0, "consecutive_losses", "consecutive_wins"),
+    }
+    first, last = tx.agg(F.min("date"), F.max("date")).first()
+    if first is None:
+        return carry.sequenced(tx, None, **spec)[0]
+    cut = F.lit(first + (last - first) / 2)
+    early, state = carry.sequenced(tx.where(F.col("date") < cut), None, **spec)
+    late, _ = carry.sequenced(tx.where(F.col("date") >= cut), stored(state), **spec)
+    return early.unionByName(late)
+
+
+@query
+def running_balance_carried(spark, d):
+    """P5 over two loads with a carried state."""
+    return _two_loads(spark, d).select("transaction_id", "session_id", "session_balance")
+
+
+@query
+def streak_lengths_carried(spark, d):
+    """P6 over two loads with a carried state."""
+    return _two_loads(spark, d).select("transaction_id", "consecutive_losses", "consecutive_wins")
+
+
+@query
+def previous_bets_carried(spark, d):
+    """F7's previous bet over two loads with a carried state."""
+    return _two_loads(spark, d).select("transaction_id", "prev_bet", "prev_net")
