@@ -14,3 +14,4 @@ ORACLE.update({f"{name}_dated": ORACLE[name] for name in ("segment_thresholds",
 ORACLE.update({f"{name}_bitmaps": ORACLE[name] for name in ("player_cohorts", "cohort_retention", "cohort_matrix")})
 # The same answers when the log is sequenced in two loads with a carried state.
 ORACLE.update({f"{name}_carried": ORACLE[name] for name in ("running_balance", "streak_lengths", "previous_bets")})
+ORACLE["exact_bet_quantiles_radix"] = ORACLE["exact_bet_quantiles"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wagerscope import schema
-from wagerscope.functions import calendar, carry, scans
+from wagerscope.functions import calendar, carry, radix, scans
 from wagerscope.functions.metrics import ggr, mean, ratio
 from wagerscope.operators import clusters, daily, dashboards, lifecycle, players, rows, segments
 from wagerscope.session import work_folder
@@ -1190,3 +1190,14 @@ def streak_lengths_carried(spark, d):
 def previous_bets_carried(spark, d):
     """F7's previous bet over two loads with a carried state."""
     return _two_loads(spark, d).select("transaction_id", "prev_bet", "prev_net")
+
+
+# --- radix selection ---------------------------------------------------------------
+
+
+@query
+def exact_bet_quantiles_radix(spark, d):
+    """P8/M2/G9 quantiles by radix selection: digits counted level by level, no sort."""
+    return radix.radix_quantiles(
+        adapters.ledger(spark, d), "bet_amount", {"p01": 0.01, "p50": 0.5, "p99": 0.99}, by=["game_id"]
+    )
