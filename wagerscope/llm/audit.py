@@ -33,9 +33,10 @@ from pyspark.sql.window import Window as W
 from wagerscope.llm.common import SPACE, stored, table
 from wagerscope.session import work_folder
 
-# Fixed values of the audit: the filter letters in order and the characters of D.
+# Fixed values of the audit: the filter letters in order, the characters of D and of C.
 LETTERS = "ABCDE"
 SYMBOLS = "[#$%&*|]"
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def hashed_words(docs: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def dictionary(docs: DataFrame, folder: str) -> DataFrame:
     join.  Words are folded per task before the shuffle.  Raises if two words
     ever share an id (then the ids are not a dictionary).
     """
-    words = docs.select(F.explode(F.split("text", f"{SPACE}+")).alias("word")).filter("word <> ''")
+    words = docs.select(F.explode(F.array_distinct(F.split("text", f"{SPACE}+"))).alias("word")).filter("word <> ''")
     folded = words.groupBy(F.xxhash64("word").alias("term")).agg(
         F.min("word").alias("word"), F.max("word").alias("other"))
     table_ = stored(folded, folder, "dictionary")
@@ -149,12 +150,15 @@ def failure_masks(docs: DataFrame, labels: DataFrame | None, min_words: int = 20
     stats = row_statistics(shards)
     flags = base.select(
         "_rid", "doc_id", "part",
-        (F.lit(100) * (F.length("text") - F.length(F.regexp_replace("text", "[A-Z]", ""))) >
+        (F.lit(100) * (F.length("text") - F.length(F.translate("text", CAPITALS, ""))) >
          F.lit(3) * F.length("text")).alias("c"),
         F.col("text").rlike(SYMBOLS).alias("d"),
-        F.sha2("text", 256).alias("digest"),
+        # equal texts: two independent 64-bit digests and the length (128 bits and more)
+        F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2"),
+        F.length("text").alias("chars"),
     )
-    first = flags.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    digest = ["h1", "h2", "chars"]
+    first = flags.groupBy(*digest).agg(F.min("doc_id").alias("first"))
     n = F.coalesce("n_words", F.lit(0))
     mask = (
         F.when(n < min_words, 1).otherwise(0)
@@ -163,7 +167,7 @@ def failure_masks(docs: DataFrame, labels: DataFrame | None, min_words: int = 20
         + F.when(F.col("d"), 8).otherwise(0)
         + F.when(F.col("doc_id") > F.col("first"), 16).otherwise(0)
     )
-    out = flags.join(first, "digest").join(stats, "_rid", "left")
+    out = flags.join(first, digest).join(stats, "_rid", "left")
     if labels is not None:
         marks = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
             F.max(F.when(F.col("quality") == 1, 1).otherwise(0)).alias("good"),
