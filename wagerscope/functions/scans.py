@@ -13,6 +13,58 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLICE_SECONDS = 3600
+SLICE_BYTES = 4 << 20
+
+
+def sliced(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` dealt by ``cols`` into slices of about ``SLICE_BYTES`` of the files it reads.
+
+    Adaptive execution joins small partitions until they reach its advisory
+    size, which is millions of narrow rows; aggregates and sorts over them take
+    gigabytes.  Slices are not joined, so a task's memory stays the same
+    however large the tables are.  Tables without files are left as they are.
+    """
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for file in set(df.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        size += path.getFileSystem(conf).getFileStatus(path).getLen()
+    if not size:
+        return df
+    return df.repartition(max(spark.sparkContext.defaultParallelism, -(-size // SLICE_BYTES)), *cols)
+
+
+def sums_and_distinct(
+    folded: DataFrame, by: Sequence[str], sums: Sequence[str], distinct: Mapping[str, str]
+) -> DataFrame:
+    """Per ``by`` group: the sum of each of ``sums``, and ``distinct[name]``'s distinct values.
+
+    Each row becomes one mark per distinct column, the first of which carries
+    the sums.  Marks of one value are folded in slices and then counted, so no
+    task holds all values of a group.
+    """
+    kinds = {f.name: f.dataType for f in folded.schema.fields}
+    values = {name: f"_v{i}" for i, name in enumerate(distinct)}
+
+    def only(c: str, mine: bool) -> Column:
+        return F.col(c) if mine else F.lit(None).cast(kinds[c])
+
+    marks = [
+        F.struct(
+            F.lit(i).alias("_mark"),
+            *[only(distinct[n], n == name).alias(v) for n, v in values.items()],
+            *[only(s, i == 0).alias(s) for s in sums],
+        )
+        for i, name in enumerate(distinct)
+    ]
+    keys = [*by, "_mark", *values.values()]
+    cells = sliced(folded.select(*by, F.inline(F.array(*marks))), *keys).groupBy(*keys).agg(
+        *[F.sum(s).alias(s) for s in sums]
+    )
+    return cells.groupBy(*by).agg(
+        *[F.sum(s).alias(s) for s in sums], *[F.count(v).alias(n) for n, v in values.items()]
+    )
 
 
 def _before(*keys: str, order: list[Column]) -> Window:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wagerscope.functions import scans
 from wagerscope.functions.metrics import mean, ratio
 from wagerscope.operators import rows
 
@@ -31,8 +32,8 @@ def platform_growth(tx: DataFrame) -> DataFrame:
 def _day_measures(tx: DataFrame, keys: list[str]) -> DataFrame:
     """Sums and distinct counts per key, from rows first folded to one per session.
 
-    The fold runs map-side, so the distinct counts expand a small table and a
-    busy day or game is spread over its sessions.
+    The fold runs map-side, and a busy day or game is spread over its players
+    and sessions.
     """
     folded = (
         tx.withColumn("date", F.to_date("timestamp"))
@@ -44,13 +45,14 @@ def _day_measures(tx: DataFrame, keys: list[str]) -> DataFrame:
             F.sum("net_result").alias("net"),
         )
     )
-    return folded.groupBy(*keys).agg(
-        F.count_distinct("player_id").alias("players"),
-        F.count_distinct("session_id").alias("sessions"),
-        F.sum("bets").alias("bets"),
-        F.sum("wagered").cast("double").alias("wagered"),
-        F.sum("won").cast("double").alias("won"),
-        F.sum("net").cast("double").alias("net"),
+    counted = {"players": "player_id", "sessions": "session_id"}
+    totals = scans.sums_and_distinct(folded, keys, ["bets", "wagered", "won", "net"], counted)
+    return totals.select(
+        *keys,
+        "players",
+        "sessions",
+        "bets",
+        *[F.col(c).cast("double").alias(c) for c in ("wagered", "won", "net")],
     )
 
 
