@@ -50,6 +50,19 @@ def test_tables_without_files_are_left_alone(spark):
     assert scans.sliced(df, "a") is df
 
 
+def test_features_equal_plain_distinct_counts(spark, star, small_slices, capsys):
+    tx = adapters.ledger(spark, star)
+    got = segments.light_features(tx, None, 1).select(
+        "player_id", "total_sessions", "active_days", "total_wagered", "total_bets"
+    )
+    want = tx.groupBy("player_id").agg(
+        F.count_distinct("session_id"), F.count_distinct("date"), F.sum("bet_amount").cast("double"), F.count("*")
+    )
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    got.explain()
+    assert "Expand" not in capsys.readouterr().out
+
+
 def test_day_measures_equal_plain_distinct_counts(spark, capsys):
     day = dt.datetime(2024, 1, 1)
     rows = [(str(i), None if i % 5 == 0 else i % 4, None if i % 7 == 0 else f"s{i % 9}", day + dt.timedelta(hours=i))

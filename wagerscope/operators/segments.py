@@ -28,15 +28,17 @@ def light_features(
             F.sum("net_result").alias("net"),
         )
     )
+    counted = {"total_sessions": "session_id", "active_days": "date"}
     return (
-        folded.groupBy("player_id")
-        .agg(
-            ratio(F.sum("wagered"), F.sum("n")).alias("avg_bet_amount"),
-            F.sum("wagered").cast("double").alias("total_wagered"),
-            F.count_distinct("session_id").alias("total_sessions"),
-            F.count_distinct("date").alias("active_days"),
-            F.abs(F.sum("net").cast("double")).alias("total_net_loss"),
-            F.sum("n").alias("total_bets"),
+        scans.sums_and_distinct(folded, ["player_id"], ["n", "wagered", "net"], counted)
+        .select(
+            "player_id",
+            ratio("wagered", "n").alias("avg_bet_amount"),
+            F.col("wagered").cast("double").alias("total_wagered"),
+            "total_sessions",
+            "active_days",
+            F.abs(F.col("net").cast("double")).alias("total_net_loss"),
+            F.col("n").alias("total_bets"),
         )
         .where(F.col("total_bets") >= min_bets)
         .withColumn("analysis_date", calendar.anchor(tx, as_of))
