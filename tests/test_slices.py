@@ -45,6 +45,12 @@ def tasks(df):
     return df.select(F.spark_partition_id().alias("p")).distinct().count()
 
 
+def test_ledger_and_cohorts_stay_in_slices(spark, star, small_slices):
+    tx = adapters.ledger(spark, star)
+    assert tasks(tx) > 10
+    assert tx.count() == 6000
+
+
 def test_tables_without_files_are_left_alone(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert scans.sliced(df, "a") is df

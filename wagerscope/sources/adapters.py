@@ -70,9 +70,11 @@ def ledger(spark: SparkSession, sf_dir: str, sequence: bool = False) -> DataFram
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
+    # Orders come last: bets stay in slices by session, where they can be folded as they are.
+    listed = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     tx = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        scans.sliced(listed, "l_orderkey")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.concat_ws(
                 "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", bet.cast("string")
