@@ -49,6 +49,10 @@ def test_ledger_and_cohorts_stay_in_slices(spark, star, small_slices):
     tx = adapters.ledger(spark, star)
     assert tasks(tx) > 10
     assert tx.count() == 6000
+    activity = lifecycle.cohort_activity(tx)
+    assert tasks(activity) > 5  # seven players and the null one
+    per_player = activity.groupBy("player_id").agg(F.countDistinct("cohort_month").alias("n"))
+    assert [r.n for r in per_player.collect()] == [1] * 8
 
 
 def test_tables_without_files_are_left_alone(spark):

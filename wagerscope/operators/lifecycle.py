@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wagerscope.functions import calendar
+from wagerscope.functions import calendar, scans
 from wagerscope.functions.metrics import mean, money_sum, pct, ratio
 from wagerscope.operators.rows import label_contains
 from wagerscope.plans.activity import player_bounds, player_days, player_months
@@ -112,7 +112,8 @@ def player_cohorts(tx: DataFrame) -> DataFrame:
 
 def cohort_activity(tx: DataFrame, mode: str = "calendar") -> DataFrame:
     """L4: active months per player with the cohort and the month's index in it."""
-    months = player_months(tx).withColumn(
+    # A player has at most one row per month here.
+    months = scans.sliced(player_months(tx), "player_id").withColumn(
         "cohort_month", F.min("month").over(Window.partitionBy("player_id"))
     )
     return months.withColumn(
@@ -451,7 +452,7 @@ def _first_day_games(tx: DataFrame, labels: DataFrame) -> DataFrame:
     """Bets of each player's first day, one row per player and game."""
     # A player has at most one row per day and game here.
     first = F.min("date").over(Window.partitionBy("player_id"))
-    cells = player_days(tx, "game_id").withColumn("_first", first)
+    cells = scans.sliced(player_days(tx, "game_id"), "player_id").withColumn("_first", first)
     return cells.where(F.col("date") == F.col("_first")).join(_label_of(labels), "player_id")
 
 
