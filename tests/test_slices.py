@@ -85,3 +85,16 @@ def test_day_measures_equal_plain_distinct_counts(spark, capsys):
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect()))
     out.explain()
     assert "Expand" not in capsys.readouterr().out
+
+
+def test_radix_reads_its_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).select((F.col("id") % 10).alias("g"), "id").mapInArrow(counted, "g long, id long")
+    out = radix.radix_quantiles(df, "id", {"p50": 0.5}, by=["g"]).collect()
+    assert len(out) == 10 and read.value == 1000

@@ -6,9 +6,10 @@ found digit by digit, 16 bits at a time from the top: a pass counts the rows of
 each group whose key starts with the prefix found so far, per next digit; the
 counts are partial aggregates (a value held by a third of all rows is one count
 per task before the shuffle), and a window over at most 65,536 digits per
-target picks the digit holding the rank.  Four passes fix all 64 bits; each
-pass reads only the key column and joins it with the small table of targets,
-which is stored, so Spark's size check can broadcast it.
+target picks the digit holding the rank.  Four passes fix all 64 bits.  The
+keys are stored once, so a pass reads only them, whatever joins ``df`` is made
+of, and joins them with the small table of targets, which is stored too, so
+Spark's size check can broadcast it.
 
 Only exact numbers (integers and decimals) have such keys here; doubles use
 ``scans.exact_quantiles``.
@@ -62,6 +63,7 @@ def radix_quantiles(
         raise TypeError(f"radix keys need an exact number, not {kind.simpleString()}")
     folder = work_folder(df.sparkSession)
     keys = df.where(F.col(value).isNotNull()).select(*by, unscaled.bitwiseXOR(_top()).alias("_u"))
+    keys = _stored(keys, folder, "keys")
 
     sizes = keys.groupBy(*by).agg(F.count("*").alias("_n"))
     ranks = []
