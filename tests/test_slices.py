@@ -98,3 +98,14 @@ def test_radix_reads_its_rows_once(spark):
     df = spark.range(1000).select((F.col("id") % 10).alias("g"), "id").mapInArrow(counted, "g long, id long")
     out = radix.radix_quantiles(df, "id", {"p50": 0.5}, by=["g"]).collect()
     assert len(out) == 10 and read.value == 1000
+
+
+def test_bronze_copy_is_written_by_many_tasks(spark, star, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "work_folder", lambda _: str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        report = {r["table"]: r["rows"] for r in catalog.QUERIES["bronze_load_report"](spark, star).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert report == {"bronze": 600, "silver": 600, "rejects": 0, "skipped_files": 1}
+    assert len(list((tmp_path / "tx/transactions_month=copy").glob("part-*"))) > 1
