@@ -129,6 +129,37 @@ def test_sentencepiece(docs, awkward):
         assert counted(pieces.counted(table, path).select("doc_id", "n_tokens")) == want
 
 
+def test_sentencepiece_remembers_no_words(spark):
+    import sentencepiece
+
+    path = public_tokenizers.path(pieces.MODEL)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = np.random.default_rng(3)
+    parts = ["ti", "on", "th", "er", "ing", "é", "東", "😀", "\0", "\n", "▁", "un", "Q", "\u0378", "7", "x" * 50]
+    texts = [" ".join("".join(rng.choice(parts, rng.integers(1, 7))) for _ in range(60)) + " " * int(i % 3) for i in range(150)]
+    texts = [None, "", " ", *(t for t in texts if " \0" not in f" {t}")]  # words that begin with NUL are cut otherwise
+    segmenter = lattice.Segmenter(lattice.Lexicon(open(path, "rb").read()))
+    column = pieces.pa.array(texts, "string")
+    ids, at = segmenter.ids(column)
+    want = [library.encode(t or "") for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want
+    assert segmenter.counts(column)[1].tolist() == [len(w) for w in want]
+    assert not hasattr(segmenter, "known") and len(segmenter.trie.pairs) == lattice.PairTrie.SLOTS
+    batch = pieces.pa.RecordBatch.from_arrays([pieces.pa.array(["x" * 2_000_000, None, "y"] + ["z"] * 3000)], ["text"])
+    assert [p.num_rows for p in pieces.slices(batch, 0)] == [1, 1024, 1024, 954]
+    lists = spark.createDataFrame([(1, [5, 300]), (2, None), (3, []), (4, [library.piece_to_id("<0xE6>")])], "doc_id long, ids array<int>")
+    got = {r.doc_id: r.decoded for r in pieces.decoded(lists, path).collect()}
+    assert got == {1: library.decode([5, 300]), 2: None, 3: "", 4: "\ufffd"}
+
+
+def test_sentencepiece_stores_no_text(spark, docs, monkeypatch):
+    kept = []
+    monkeypatch.setattr(pieces, "stored", lambda df: kept.append(df.columns) or df)
+    rows = pieces.op7_sentencepiece(spark, SF).collect()
+    assert kept == [["doc_id", "text_sha256", "ids"]]
+    assert len(rows) == docs.count() and all(r.same for r in rows)
+
+
 def test_unigram_paths():
     lexicon = object.__new__(lattice.Lexicon)
     lexicon.kind, lexicon.dummy_prefix, lexicon.bytes, lexicon.unknown = lattice.UNIGRAM, True, [], 0
