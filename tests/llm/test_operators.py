@@ -226,6 +226,21 @@ def test_simhash_large_variants(spark):
     assert all((r.u ^ r.v).bit_count() <= 2 for r in links) and roots(map(tuple, links)) == roots(want)
 
 
+def test_simhash_shuffles_variants_once(spark, monkeypatch):
+    plans, stored = [], simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df, *a: plans.append(df._jdf.queryExecution().toString()) or stored(df, *a))
+    rng = np.random.default_rng(2)
+    base = [int(x) for x in rng.integers(-(1 << 63), (1 << 63) - 1, size=40)]
+    signed = lambda v: v - (1 << 64) if v >> 63 & 1 else v
+    values = sorted({*base, *(signed((b ^ (1 << 63) ^ (1 << i)) & ((1 << 64) - 1)) for i, b in enumerate(base))})
+    fps = spark.createDataFrame([(v,) for v in values], "fp long")
+    want = {(a, b) for a in values for b in values if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 2}
+    assert {(min(r.u, r.v), max(r.u, r.v)) for r in simhash.links(fps).collect()} == want and len(want) >= 40
+    assert len(plans) == 1  # the count of a variant and its members come from one table
+    one = {(a, b) for a, b in want if ((a ^ b) & ((1 << 64) - 1)).bit_count() == 1}
+    assert {(min(r.u, r.v), max(r.u, r.v)) for r in simhash.links(fps, 1).collect()} == one
+
+
 def test_token_orc(spark, docs, awkward, tmp_path):
     from tokenizers import Tokenizer
 

@@ -108,15 +108,15 @@ def links(fps: DataFrame, max_bits: int = 2, pair_limit: int = 8) -> DataFrame:
     """
     if max_bits == 0:
         return fps.select(F.col("fp").alias("u"), F.col("fp").alias("v")).filter("false")
-    keys, on = variants(fps, max_bits), ["slot", "value"]
-    shared = stored(
-        keys.groupBy(*on)
-        .agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high"))
-        .filter("n > 1")
-    )
+    # Variants are shuffled once: only those that are shared go on.
+    count = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys, on = variants(fps.repartition(count, "fp"), max_bits), ["slot", "value"]
+    if max_bits == 2:  # a slot and half a fingerprint fit one number
+        half = F.when(F.col("slot") < BITS // 2, F.col("value")).otherwise(F.shiftrightunsigned("value", BITS // 2))
+        packed = F.shiftleft(F.col("slot").cast("long"), BITS // 2).bitwiseOR(half)
+        keys, on = keys.select("fp", packed.alias("key")), ["key"]
+    members = stored(keys.withColumn("n", F.count("*").over(W.partitionBy(*on))).filter("n > 1"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits
-    twos = shared.filter("n = 2").select(F.col("low").alias("u"), F.col("high").alias("v")).distinct()
-    members = stored(keys.join(shared.filter("n > 2").select(*on, "n"), on))
     few = members.filter(F.col("n") <= pair_limit).drop("n")
     pairs = (
         few.withColumnRenamed("fp", "u").join(few.withColumnRenamed("fp", "v"), on).filter("u < v")
@@ -127,8 +127,7 @@ def links(fps: DataFrame, max_bits: int = 2, pair_limit: int = 8) -> DataFrame:
         "point", F.expr("IF(bit < 0, fp, fp ^ shiftleft(1L, bit))")
     )
     stars = points.select(F.col("fp").alias("u"), F.min("fp").over(W.partitionBy("point")).alias("v"))
-    found = twos.filter(near).unionAll(pairs.filter(near))
-    return found.unionAll(stars.filter("u <> v").filter(near)).distinct()
+    return pairs.filter(near).unionAll(stars.filter("u <> v").filter(near)).distinct()
 
 
 def classes(marked: DataFrame, max_bits: int = 2) -> DataFrame:
