@@ -160,6 +160,23 @@ def test_sentencepiece_stores_no_text(spark, docs, monkeypatch):
     assert len(rows) == docs.count() and all(r.same for r in rows)
 
 
+def test_token_encoder_pieces_together(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, encoder = Tokenizer.from_file(path), tokenfile.Encoder(path)
+    rng = np.random.default_rng(4)
+    parts = ["ti", "on", "'s", "th", "é", "東", "😀", "\n", "\t", "\x85", "\u3000", "\x1c", "\xa0", "\u2028", "  ", "7", "<|endoftext|>", ".", "\0", "Ġ"]
+    texts = ["", " ", *(" ".join("".join(rng.choice(parts, rng.integers(1, 5))) for _ in range(40)) for _ in range(300))]
+    ids, at = encoder.encode(tokenfile.pa.array(texts, "string"), 0)
+    want = [[*library.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want
+    calls, each = [], encoder._each
+    monkeypatch.setattr(encoder, "_each", lambda x: calls.append(len(x)) or each(x))
+    encoder.encode(tokenfile.pa.array([" ".join(f"w{i}" for i in range(5000))]), 0)
+    assert sum(calls) <= 4  # distinct pieces go through the tokenizer together
+
+
 def test_unigram_paths():
     lexicon = object.__new__(lattice.Lexicon)
     lexicon.kind, lexicon.dummy_prefix, lexicon.bytes, lexicon.unknown = lattice.UNIGRAM, True, [], 0

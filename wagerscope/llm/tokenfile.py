@@ -9,32 +9,38 @@ skip stripes and row groups.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from wagerscope.llm.common import table
+from wagerscope.llm.lattice import spread
+from wagerscope.llm.pieces import slices
 from wagerscope.session import work_folder
 
 FILE = "seq long, doc_id long, n_tokens long, ids array<int>"
-#: Encoded text pieces that a worker remembers, and the longest ones it does.
-REMEMBERED, LONGEST = 400_000, 48
+#: Distinct pieces that go through the tokenizer as one text, and the bytes of texts whose pieces are taken together.
+TOGETHER, BYTES = 4096, 2_000_000
+#: Pieces in one of the two generations that a worker remembers, and the longest ones it does.
+REMEMBERED, LONGEST = 300_000, 48
 #: A space that touches other white space, where a text must not be cut.
-_ODD = re.compile(r" \s|\s | \Z|\A ")
+_ODD = r" [\s\x0b\x1c-\x1f\x{85}\pZ]|[\s\x0b\x1c-\x1f\x{85}\pZ] | $|^ "
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, each distinct piece encoded once.
+    """Ids of whole texts by the tokenizers library, each distinct piece of a slice encoded once.
 
     A byte-level tokenizer starts a new pre-token at a single space between two
-    other characters.  Texts are cut there, and the pieces' ids are remembered.
-    Ids of a piece are kept as little-endian 32-bit numbers.
+    other characters.  Texts are cut there; distinct pieces, each with its space,
+    go through the tokenizer as one text, and the only tokens that begin with a
+    space are the first ones of the pieces.  Ids of a piece are remembered as
+    32-bit numbers; pieces not met while a whole generation filled up are forgotten.
     """
 
     def __init__(self, path: str):
@@ -42,42 +48,90 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        missing = list(set().union(*(p[1] for p in cut)).difference(known))
-        long = [p for p in missing if len(p) > LONGEST]
-        short = [p for p in missing if len(p) <= LONGEST]
-        known.update(zip(short, self._ids([f" {p}" for p in short]), strict=True))
-        if long:
-            known = known | dict(zip(long, self._ids([f" {p}" for p in long]), strict=True))
-        heads = self._ids([p[0] for p in cut])
-        return [
-            head + b"".join([known[p] for p in rest]) for head, (_, rest) in zip(heads, cut, strict=True)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: By id, whether the token begins with a space; the byte-level alphabet writes it as U+0120.
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after another, and how many each has; every text on its own."""
+        found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.int32), *found]), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for distinct pieces without inner spaces, a space before each."""
+        recent, older = self.recent, self.older
+        known = [recent.get(p) or older.get(p) for p in pieces]
+        missing = [i for i, ids in enumerate(known) if ids is None]
+        for i in range(0, len(missing), TOGETHER):
+            at = missing[i : i + TOGETHER]
+            some = [pieces[j] for j in at]
+            found, _ = self._each([f" {' '.join(some)}"])
+            starts = np.flatnonzero(self.begins[found])
+            if len(starts) == len(some) and starts[0] == 0:
+                ends = np.append(starts[1:], len(found))
+            else:
+                found, many = self._each([f" {p}" for p in some])
+                ends = np.cumsum(many)
+                starts = ends - many
+            data = found.tobytes()
+            for j, first, last in zip(at, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
+                known[j] = data[first:last]
+        recent.update((p, ids) for p, ids in zip(pieces, known, strict=True) if len(p) <= LONGEST)
+        if len(recent) > REMEMBERED:
+            self.recent, self.older = {}, recent
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        return np.frombuffer(b"".join(known), np.int32), lengths
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, ``end_id`` after each, and where each text's begin."""
+        odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+        plain, strange = np.flatnonzero(~odd), np.flatnonzero(odd)
+        cut = pc.split_pattern(texts.take(pa.array(plain)), " ")
+        if len(strange):
+            other = [self._cut(t) for t in texts.take(pa.array(strange)).to_pylist()]
+            cut = pa.concat_arrays([cut, pa.array(other, cut.type)])
+            cut = cut.take(pa.array(np.argsort(np.concatenate([plain, strange]))))
+        words = cut.flatten().dictionary_encode()
+        distinct, codes = words.dictionary, words.indices.to_numpy().astype(np.int64)
+        ends = np.cumsum(cut.value_lengths().to_numpy().astype(np.int64))
+        first = np.append(0, ends[:-1])
+        # The table of pieces: simple ones, then others, the texts' first pieces without a space, and the end.
+        other = pc.or_(pc.match_substring(distinct, " "), pc.equal(distinct, ""))
+        for token in self.special:
+            other = pc.or_(other, pc.match_substring(distinct, token))
+        other = other.to_numpy(zero_copy_only=False)
+        place = np.empty(len(distinct), np.int64)
+        place[~other], place[other] = np.arange((~other).sum()), (~other).sum() + np.arange(other.sum())
+        codes = place[codes]
+        heads = cut.flatten().take(pa.array(first)).to_pylist()
+        codes[first] = len(distinct) + np.arange(len(heads))
+        codes = np.insert(codes, ends, len(distinct) + len(heads))
+        parts = [
+            self._pieces(distinct.filter(pa.array(~other)).to_pylist()),
+            self._each([f" {p}" for p in distinct.filter(pa.array(other)).to_pylist()] + heads),
+            (np.array([end_id], np.int32), np.ones(1, np.int64)),
         ]
+        ids, lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
+        begins, each = (np.cumsum(lengths) - lengths)[codes], lengths[codes]
+        after = np.append(0, np.cumsum(each))
+        return ids[spread(begins, each)], np.append(0, after[ends + np.arange(1, len(ends) + 1)])
 
     @staticmethod
-    def _cut(text: str) -> tuple[str, list[str]]:
-        """The text's first piece, and the others without their leading space."""
+    def _cut(text: str) -> list[str]:
+        """The text's pieces, the spaces between them left out."""
         pieces = text.split(" ")
-        if _ODD.search(text):
-            joined = [pieces[0]]
-            for p in pieces[1:]:
-                last = joined[-1]
-                if last and p and not last[-1].isspace() and not p[0].isspace():
-                    joined.append(p)
-                else:
-                    joined[-1] = f"{last} {p}"
-            pieces = joined
-        return pieces[0], pieces[1:]
+        joined = [pieces[0]]
+        for p in pieces[1:]:
+            last = joined[-1]
+            if last and p and not last[-1].isspace() and not p[0].isspace():
+                joined.append(p)
+            else:
+                joined[-1] = f"{last} {p}"
+        return joined
 
 
 @lru_cache(maxsize=2)
@@ -102,28 +156,22 @@ def write_tokens(
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ranged = rows.repartitionByRange(F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encoder, seq = _encoder(tokenizer), 0
         for batch in batches:
-            step = 512
-            for i in range(0, batch.num_rows, step):
-                part = batch.slice(i, step)
-                ids = [x + end for x in encoder.encode(part.column("text").to_pylist())]
-                lengths = np.array([len(x) // 4 for x in ids], np.int64)
-                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+            for part in slices(batch, 1, limit=BYTES):
+                ids, offsets = encoder.encode(part.column("text"), end_id)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(seq, seq + len(ids))),
+                        pa.array(np.arange(seq, seq + part.num_rows)),
                         part.column("doc_id"),
-                        pa.array(lengths),
-                        pa.ListArray.from_arrays(pa.array(offsets), values),
+                        pa.array(np.diff(offsets)),
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids)),
                     ],
                     names=["seq", "doc_id", "n_tokens", "ids"],
                 )
-                seq += len(ids)
+                seq += part.num_rows
 
     (
         ranged.mapInArrow(run, FILE)
