@@ -63,6 +63,22 @@ def test_awkward_rows(spark):
     assert len(got) == 3 * 600
 
 
+def test_dictionary_and_shards(spark, tmp_path, monkeypatch):
+    texts = ["b a b", "", " \t", "a c a a", "é 東 é", "b a b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "_rid long, text string").coalesce(1)
+    plans, stored = [], audit.stored
+    monkeypatch.setattr(audit, "stored", lambda x, *a: plans.append(x._jdf.queryExecution().toString()) or stored(x, *a))
+    words = {r.word: r.term for r in audit.dictionary(df, str(tmp_path)).collect()}
+    assert set(words) == {w for t in texts for w in t.split()} and "SortAggregate" not in plans[0]
+    got = {}
+    for r in audit.csr_shards(audit.hashed_words(df)).collect():
+        for i, rid in enumerate(r.rows):
+            terms = r.indices[r.indptr[i]:r.indptr[i + 1]]
+            assert terms == sorted(terms)
+            got[rid] = dict(zip(terms, r.data[r.indptr[i]:r.indptr[i + 1]], strict=True))
+    assert got == {i: {words[w]: t.split().count(w) for w in t.split()} for i, t in enumerate(texts)}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, lang string, text string")
     assert audit.interaction_report(audit.failure_masks(df, None)).count() == 0

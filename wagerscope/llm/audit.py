@@ -49,17 +49,15 @@ def dictionary(docs: DataFrame, folder: str) -> DataFrame:
     """``term, word``: the stored dictionary of all distinct words of ``docs`` (``text``).
 
     Ids are XXH64 of the word, so every task encodes a word alike without a
-    join.  Words are folded per task before the shuffle.  Raises if two words
-    ever share an id (then the ids are not a dictionary).
+    join.  Words are folded per task by hashing before the shuffle, never sorted.
+    Raises if two words ever share an id (then the ids are not a dictionary).
     """
     words = docs.select(F.explode(F.array_distinct(F.split("text", f"{SPACE}+"))).alias("word")).filter("word <> ''")
-    folded = words.groupBy(F.xxhash64("word").alias("term")).agg(
-        F.min("word").alias("word"), F.max("word").alias("other"))
-    table_ = stored(folded, folder, "dictionary")
-    clashes = table_.where("word <> other").count()
+    table_ = stored(words.select(F.xxhash64("word").alias("term"), "word").distinct(), folder, "dictionary")
+    clashes = table_.groupBy("term").count().where("count > 1").count()
     if clashes:
         raise ValueError(f"{clashes} term ids are shared by two words")
-    return table_.drop("other")
+    return table_
 
 
 _CSR = T.StructType([
@@ -93,18 +91,22 @@ def csr_shards(hashed: DataFrame) -> DataFrame:
             terms = batch.column(1)
             offsets = terms.offsets.to_numpy().astype(np.int64)
             values = terms.values.to_numpy()[offsets[0]:offsets[-1]]
-            row = np.repeat(np.arange(len(rids)), np.diff(offsets))
-            order = np.lexsort((values, row))
-            row, values = row[order], values[order]
-            new = np.concatenate(([True], (row[1:] != row[:-1]) | (values[1:] != values[:-1]))) if len(row) else (
-                np.zeros(0, bool))
-            starts = np.flatnonzero(new)
-            counts = np.diff(np.append(starts, len(row)))
-            indptr = np.searchsorted(row[starts], np.arange(len(rids) + 1)) if len(starts) else (
-                np.zeros(len(rids) + 1, np.int64))
+            # One number per entry, (row, rank of its term among the batch's), so that a plain sort puts equal ones together.
+            coded = pa.array(values).dictionary_encode()
+            distinct = coded.dictionary.to_numpy()
+            order = np.argsort(distinct)
+            rank = np.empty(len(distinct), np.int64)
+            rank[order] = np.arange(len(distinct))
+            wide = max(len(distinct), 1)
+            entries = np.repeat(np.arange(len(rids)) * wide, np.diff(offsets)) + rank[coded.indices.to_numpy()]
+            entries.sort()
+            starts = np.flatnonzero(np.diff(entries, prepend=-1))
+            counts = np.diff(np.append(starts, len(entries)))
+            entries = entries[starts]
+            indptr = np.searchsorted(entries, np.arange(len(rids) + 1) * wide)
+            terms = distinct[order][entries % wide]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([shard], pa.int32()), one(rids), one(indptr), one(values[starts]), one(counts)],
-                schema=schema)
+                [pa.array([shard], pa.int32()), one(rids), one(indptr), one(terms), one(counts)], schema=schema)
 
     return hashed.mapInArrow(build, _CSR)
 
