@@ -171,6 +171,10 @@ def test_token_encoder_pieces_together(monkeypatch):
     ids, at = encoder.encode(tokenfile.pa.array(texts, "string"), 0)
     want = [[*library.encode(t, add_special_tokens=False).ids, 0] for t in texts]
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want
+    monkeypatch.setattr(tokenfile, "REMEMBERED", 50)  # generations come and go, and the ids stay the same
+    for i in range(0, len(texts), 20):
+        ids, at = encoder.encode(tokenfile.pa.array(texts[i : i + 20], "string"), 0)
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want[i : i + 20]
     calls, each = [], encoder._each
     monkeypatch.setattr(encoder, "_each", lambda x: calls.append(len(x)) or each(x))
     encoder.encode(tokenfile.pa.array([" ".join(f"w{i}" for i in range(5000))]), 0)

@@ -28,7 +28,7 @@ FILE = "seq long, doc_id long, n_tokens long, ids array<int>"
 #: Distinct pieces that go through the tokenizer as one text, and the bytes of texts whose pieces are taken together.
 TOGETHER, BYTES = 4096, 2_000_000
 #: Pieces in one of the two generations that a worker remembers, and the longest ones it does.
-REMEMBERED, LONGEST = 300_000, 48
+REMEMBERED, LONGEST = 400_000, 48
 #: A space that touches other white space, where a text must not be cut.
 _ODD = r" [\s\x0b\x1c-\x1f\x{85}\pZ]|[\s\x0b\x1c-\x1f\x{85}\pZ] | $|^ "
 
@@ -64,8 +64,11 @@ class Encoder:
     def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The same for distinct pieces without inner spaces, a space before each."""
         recent, older = self.recent, self.older
-        known = [recent.get(p) or older.get(p) for p in pieces]
-        missing = [i for i, ids in enumerate(known) if ids is None]
+        known = [recent.get(p) for p in pieces]
+        fresh = [i for i, ids in enumerate(known) if ids is None]
+        for i in fresh:
+            known[i] = older.get(pieces[i])
+        missing = [i for i in fresh if known[i] is None]
         for i in range(0, len(missing), TOGETHER):
             at = missing[i : i + TOGETHER]
             some = [pieces[j] for j in at]
@@ -80,7 +83,9 @@ class Encoder:
             data = found.tobytes()
             for j, first, last in zip(at, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
                 known[j] = data[first:last]
-        recent.update((p, ids) for p, ids in zip(pieces, known, strict=True) if len(p) <= LONGEST)
+        for i in fresh:
+            if len(pieces[i]) <= LONGEST:
+                recent[pieces[i]] = known[i]
         if len(recent) > REMEMBERED:
             self.recent, self.older = {}, recent
         lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
