@@ -181,6 +181,38 @@ def test_token_encoder_pieces_together(monkeypatch):
     assert sum(calls) <= 4  # distinct pieces go through the tokenizer together
 
 
+def test_token_encoder_known_words_before_signs(monkeypatch, tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, seen = tokenfile.Encoder(path), []
+    words = [f"hea{a}{b}in" for a in "bcdfgh" for b in "aeiou"]
+    encoder.encode(tokenfile.pa.array(["x " + " ".join(words)]), 0)
+    monkeypatch.setattr(encoder, "_each", lambda x, each=encoder._each: seen.extend(x) or each(x))
+    text = "x " + " ".join(f"{w}{s}" for s in ".,!" for w in words) + " x"
+    encoder.encode(tokenfile.pa.array([text]), 0)
+    assert not [t for t in seen if "hea" in t]  # a remembered word is not tokenized again because of the sign after it
+    # Signs, newlines and contractions, by a rule that lets cuts at signs and newlines, and by one that does not.
+    form = json.loads(Tokenizer.from_file(path).to_str())
+    rule = r"""'(?i:[sdmt]|ll|ve|re)|[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]|\s+(?!\S)|\s+"""
+    split = {"type": "Split", "pattern": {"Regex": rule}, "behavior": "Removed", "invert": True}
+    plain = form["pre_tokenizer"] | {"use_regex": False}
+    other = form | {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [split, plain]}}
+    spaced = form | {"pre_tokenizer": form["pre_tokenizer"] | {"add_prefix_space": True}}
+    rng = np.random.default_rng(5)
+    parts = ["the", "re", "'re", "'ve", "'s", "-", "_", ".", "...", "\n", "\n\n", "\r\n", "ß", "\u017f", "\u0301", "×", "ª", "8", "\t", "A", "('", "``", "\0"]
+    texts = [" ".join("".join(rng.choice(parts, rng.integers(1, 6))) for _ in range(30)) for _ in range(300)]
+    for i, x in enumerate([form, other, spaced]):
+        (file := tmp_path / f"{i}.json").write_text(json.dumps(x))
+        library, encoder = Tokenizer.from_file(str(file)), tokenfile.Encoder(str(file))
+        for some in (texts, texts[:50]):
+            ids, at = encoder.encode(tokenfile.pa.array(some), 0)
+            want = [[*library.encode(t, add_special_tokens=False).ids, 0] for t in some]
+            assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == want
+
+
 def test_unigram_paths():
     lexicon = object.__new__(lattice.Lexicon)
     lexicon.kind, lexicon.dummy_prefix, lexicon.bytes, lexicon.unknown = lattice.UNIGRAM, True, [], 0

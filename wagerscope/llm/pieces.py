@@ -46,14 +46,16 @@ def _spellings(path: str) -> pa.Array:
     return pa.array(_lexicon(path).spellings, pa.binary())
 
 
-def slices(batch: pa.RecordBatch, column: int, each: int = 1, limit: int | None = None) -> Iterator[pa.RecordBatch]:
+def slices(
+    batch: pa.RecordBatch, column: int, each: int = 1, limit: int | None = None, texts: int = TEXTS
+) -> Iterator[pa.RecordBatch]:
     """Parts of a batch, so that long values of ``column`` come in small numbers; ``each`` is their unit in bytes."""
     lengths = pc.fill_null((pc.binary_length if each == 1 else pc.list_value_length)(batch.column(column)), 0)
     ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64)) * each
     first = 0
     while first < batch.num_rows:
         most = (ends[first - 1] if first else 0) + (limit or BYTES)
-        last = min(max(int(np.searchsorted(ends, most, "right")), first + 1), first + TEXTS)
+        last = min(max(int(np.searchsorted(ends, most, "right")), first + 1), first + texts)
         yield batch.slice(first, last - first)
         first = last
 

@@ -8,6 +8,7 @@ skip stripes and row groups.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from functools import lru_cache
@@ -25,22 +26,29 @@ from wagerscope.llm.pieces import slices
 from wagerscope.session import work_folder
 
 FILE = "seq long, doc_id long, n_tokens long, ids array<int>"
-#: Distinct pieces that go through the tokenizer as one text, and the bytes of texts whose pieces are taken together.
-TOGETHER, BYTES = 4096, 2_000_000
-#: Pieces in one of the two generations that a worker remembers, and the longest ones it does.
+#: Distinct pieces that go through the tokenizer as one text, and the texts, and their bytes, whose pieces are taken together.
+TOGETHER, TEXTS, BYTES = 4096, 16_384, 8_000_000
+#: Pieces after which a worker forgets those not met of late, and the longest ones it remembers.
 REMEMBERED, LONGEST = 400_000, 48
 #: A space that touches other white space, where a text must not be cut.
 _ODD = r" [\s\x0b\x1c-\x1f\x{85}\pZ]|[\s\x0b\x1c-\x1f\x{85}\pZ] | $|^ "
+#: Two white-space characters in a row, and a letter before a sign; letters and signs of any Unicode version.
+_BLANKS = r"[\s\x0b\x1c-\x1f\x{85}\pZ]{2}"
+_WORD_END = r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{17f}])([!-/:-@\[-`{-~])"
 
 
 class Encoder:
     """Ids of whole texts by the tokenizers library, each distinct piece of a slice encoded once.
 
     A byte-level tokenizer starts a new pre-token at a single space between two
-    other characters.  Texts are cut there; distinct pieces, each with its space,
-    go through the tokenizer as one text, and the only tokens that begin with a
-    space are the first ones of the pieces.  Ids of a piece are remembered as
-    32-bit numbers; pieces not met while a whole generation filled up are forgotten.
+    other characters.  Texts are cut there, and their distinct pieces once more
+    where the rule of the tokenizer at hand starts one too: between a letter and a
+    sign, and before a single newline.
+    Distinct pieces, each with its space or newline, go through the tokenizer as
+    one text, and the only tokens that begin with a space (newline) are the first
+    ones of the pieces.  Remembered pieces lie in one Arrow array, their ids as
+    32-bit numbers beside it; the distinct pieces of a slice are looked up in it
+    together, and pieces not met since the last time are forgotten when it is full.
     """
 
     def __init__(self, path: str):
@@ -49,11 +57,17 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        #: By id, whether the token begins with a space; the byte-level alphabet writes it as U+0120.
-        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.begins[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        #: By id, whether the token begins with a space or a newline; the byte-level alphabet writes them as U+0120, U+010A.
+        self.begins = {c: np.zeros(max(vocabulary.values()) + 1, bool) for c in " \n"}
+        for c, sign in zip(" \n", "\u0120\u010a", strict=True):
+            self.begins[c][[i for t, i in vocabulary.items() if t.startswith(sign)]] = True
+        #: Remembered pieces, their ids one after another and how many each has, and whether it was met of late.
+        self.pieces = pa.array([], pa.string())
+        self.ids, self.lengths, self.used = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, bool)
+        #: Whether the pre-token rule is known to end words at signs and newlines.
+        form = json.loads(self.tokenizer.to_str())
+        rule = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.finer = not form["normalizer"] and rule.items() <= (form["pre_tokenizer"] or {}).items()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -61,35 +75,69 @@ class Encoder:
         found = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         return np.concatenate([np.zeros(0, np.int32), *found]), np.fromiter(map(len, found), np.int64, len(found))
 
-    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The same for distinct pieces without inner spaces, a space before each."""
-        recent, older = self.recent, self.older
-        known = [recent.get(p) for p in pieces]
-        fresh = [i for i, ids in enumerate(known) if ids is None]
-        for i in fresh:
-            known[i] = older.get(pieces[i])
-        missing = [i for i in fresh if known[i] is None]
-        for i in range(0, len(missing), TOGETHER):
-            at = missing[i : i + TOGETHER]
-            some = [pieces[j] for j in at]
-            found, _ = self._each([f" {' '.join(some)}"])
-            starts = np.flatnonzero(self.begins[found])
+    def _tokenized(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces that begin with the same character, a space or a newline, and hold it nowhere else."""
+        ids, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(pieces), TOGETHER):
+            some = pieces.slice(i, TOGETHER).to_pylist()
+            found, _ = self._each(["".join(some)])
+            starts = np.flatnonzero(self.begins[some[0][0]][found])
             if len(starts) == len(some) and starts[0] == 0:
-                ends = np.append(starts[1:], len(found))
+                many = np.diff(np.append(starts, len(found)))
             else:
-                found, many = self._each([f" {p}" for p in some])
-                ends = np.cumsum(many)
-                starts = ends - many
-            data = found.tobytes()
-            for j, first, last in zip(at, (4 * starts).tolist(), (4 * ends).tolist(), strict=True):
-                known[j] = data[first:last]
-        for i in fresh:
-            if len(pieces[i]) <= LONGEST:
-                recent[pieces[i]] = known[i]
-        if len(recent) > REMEMBERED:
-            self.recent, self.older = {}, recent
-        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        return np.frombuffer(b"".join(known), np.int32), lengths
+                found, many = self._each(some)
+            ids.append(found)
+            lengths.append(many)
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def _known(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for distinct pieces, of which those met before are looked up among the remembered ones."""
+        found = pc.index_in(pieces, self.pieces)
+        place = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        fresh = np.flatnonzero(place < 0)
+        new = pieces.take(pa.array(fresh))
+        spaced = pc.starts_with(new, " ").to_numpy(zero_copy_only=False)
+        lined = pc.match_substring_regex(new, r"^\n[^\n]").to_numpy(zero_copy_only=False)
+        order = np.concatenate([np.flatnonzero(x) for x in (spaced, lined, ~spaced & ~lined)])
+        new = new.take(pa.array(order))
+        lines, rest = int(spaced.sum()), int((spaced | lined).sum())
+        parts = [
+            (self.ids, self.lengths),
+            self._tokenized(new.slice(0, lines)),
+            self._tokenized(new.slice(lines, rest - lines)),
+            self._each(new.slice(rest).to_pylist()),
+        ]
+        ids, lengths = (np.concatenate(x) for x in zip(*parts, strict=True))
+        begins = np.cumsum(lengths) - lengths
+        self.used[place[place >= 0]] = True
+        place[fresh[order]] = len(self.pieces) + np.arange(len(new))
+        short = pc.less_equal(pc.utf8_length(new), LONGEST).to_numpy(zero_copy_only=False)
+        keep = np.append(np.ones(len(self.pieces), bool), short)
+        used = np.append(self.used, np.ones(len(new), bool))
+        if keep.sum() > REMEMBERED:
+            keep &= used
+            used = np.zeros(len(used), bool)
+        held = np.flatnonzero(keep)
+        self.pieces = pa.concat_arrays([self.pieces, new]).take(pa.array(held))
+        self.ids, self.lengths, self.used = ids[spread(begins[held], lengths[held])], lengths[held], used[held]
+        return ids[spread(begins[place], lengths[place])], lengths[place]
+
+    def _pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same for distinct pieces without spaces or NUL, a space before each."""
+        if not len(pieces):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        cut = pieces
+        if self.finer:
+            cut = pc.replace_substring_regex(pc.replace_substring(cut, "\n", "\0\n"), _WORD_END, r"\1" "\0" r"\2")
+            cut = pc.if_else(pc.match_substring_regex(pieces, _BLANKS), pieces, cut)
+        parts = pc.split_pattern(pc.binary_join_element_wise("", cut, " "), "\0")
+        inner = parts.flatten().dictionary_encode()
+        ids, lengths = self._known(inner.dictionary)
+        codes = inner.indices.to_numpy()
+        begins, each = (np.cumsum(lengths) - lengths)[codes], lengths[codes]
+        after = np.append(0, np.cumsum(each))
+        ends = np.cumsum(parts.value_lengths().to_numpy().astype(np.int64))
+        return ids[spread(begins, each)], np.diff(after[np.append(0, ends)])
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, ``end_id`` after each, and where each text's begin."""
@@ -106,6 +154,7 @@ class Encoder:
         first = np.append(0, ends[:-1])
         # The table of pieces: simple ones, then others, the texts' first pieces without a space, and the end.
         other = pc.or_(pc.match_substring(distinct, " "), pc.equal(distinct, ""))
+        other = pc.or_(other, pc.match_substring(distinct, "\0"))
         for token in self.special:
             other = pc.or_(other, pc.match_substring(distinct, token))
         other = other.to_numpy(zero_copy_only=False)
@@ -116,7 +165,7 @@ class Encoder:
         codes[first] = len(distinct) + np.arange(len(heads))
         codes = np.insert(codes, ends, len(distinct) + len(heads))
         parts = [
-            self._pieces(distinct.filter(pa.array(~other)).to_pylist()),
+            self._pieces(distinct.filter(pa.array(~other))),
             self._each([f" {p}" for p in distinct.filter(pa.array(other)).to_pylist()] + heads),
             (np.array([end_id], np.int32), np.ones(1, np.int64)),
         ]
@@ -165,7 +214,7 @@ def write_tokens(
     def run(batches):
         encoder, seq = _encoder(tokenizer), 0
         for batch in batches:
-            for part in slices(batch, 1, limit=BYTES):
+            for part in slices(batch, 1, limit=BYTES, texts=TEXTS):
                 ids, offsets = encoder.encode(part.column("text"), end_id)
                 yield pa.RecordBatch.from_arrays(
                     [
