@@ -97,6 +97,18 @@ def test_alternative_clusterings_cover_all_players(features):
     assert out.select("cluster_kmeans").distinct().count() == 3
 
 
+def test_mixture_starts_with_one_task_per_executor(features, monkeypatch):
+    class Recorded(clusters.GaussianMixture):
+        def fit(self, df):
+            fits.append((df.rdd.getNumPartitions(), self.getMaxIter()))
+            return super().fit(df)
+
+    fits = []
+    monkeypatch.setattr(clusters, "GaussianMixture", Recorded)
+    clusters.alternative_clusterings(features.repartition(4), k=3).count()
+    assert fits[0] == (1, 1) and len(fits) == 2  # local mode has one executor
+
+
 def test_principal_components_explain_less_than_all(features):
     scores, explained = clusters.principal_components(features, clusters.VALUE_FEATURES)
     assert scores.count() == features.count()

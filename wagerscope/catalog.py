@@ -65,8 +65,12 @@ def _ledger_personas(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, d: str) -> DataFrame:
-    """Player features, written once so a fit and its result read the same table."""
-    tx = adapters.bets(spark, d, sequence=True)
+    """Player features, written once so a fit and its result read the same table.
+
+    So are the bets: every part of the features would cut sessions and sequence
+    them again.
+    """
+    tx = stored(adapters.bets(spark, d, sequence=True))
     return stored(rows.minimum_activity(players.summary_features(tx)))
 
 

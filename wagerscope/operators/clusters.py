@@ -12,9 +12,9 @@ from itertools import combinations
 from pyspark import StorageLevel
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -165,6 +165,23 @@ def kmeans_segments(
     return placed.join(named, "cluster")
 
 
+def _start_lapack(spark: SparkSession) -> None:
+    """One small eigendecomposition alone in each executor, before a fit runs several at once there.
+
+    The Java LAPACK finds its machine constants at the first call, unguarded: a task
+    that calls it meanwhile reads zeros and may scale its matrix for ever.  Cached
+    rows, a partition per executor, keep it to one task in each.
+    """
+    executors = max(1, spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() - 1)
+    rows = spark.range(0, 8 * executors, 1, executors).select(
+        F.array(F.col("id") % 3, F.col("id") % 5).cast("array<double>").alias("v")
+    )
+    rows = rows.select(array_to_vector("v").alias("v")).persist(StorageLevel.MEMORY_AND_DISK)
+    rows.count()
+    GaussianMixture(k=2, seed=SEED, featuresCol="v", maxIter=1).fit(rows)
+    rows.unpersist()
+
+
 def alternative_clusterings(
     features: DataFrame,
     k: int = 4,
@@ -185,6 +202,7 @@ def alternative_clusterings(
     data = _vectors(both, [f"{c}_z" for c in cols], "_z")
     data = _vectors(data, [f"{c}_s" for c in cols], "_s").select(key, "_z", "_s")
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    _start_lapack(features.sparkSession)
     models = [
         _best_kmeans(data, "_z", "cluster_kmeans", k, seed, n_init),
         BisectingKMeans(
